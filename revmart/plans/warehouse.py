@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from revmart.plans import (
     capex, customer, dims, employee, executive, forecast, marts, product, staging,
 )
-from revmart.sources.fixtures import Sources, testdata_sources
+from revmart.sources.fixtures import testdata_sources
+from revmart.sources.raw import Sources
 
 # Page groups (fixed values): the layer or dashboard page of each relation.
 STAGING = "staging"
@@ -48,6 +49,12 @@ class Warehouse:
                       as_of: _dt.date | None = None) -> "Warehouse":
         return cls(testdata_sources(spark, sf_dir), spark, as_of)
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, database: str = "raw",
+                    as_of: _dt.date | None = None) -> "Warehouse":
+        """Warehouse over landed raw tables (see ``revmart.sources.landing``)."""
+        return cls(Sources.from_tables(spark, database), spark, as_of)
+
     def relation(self, name: str) -> DataFrame:
         if name in self._overrides:
             return self._overrides[name]
@@ -59,23 +66,40 @@ class Warehouse:
 
     __getitem__ = relation
 
-    def materialize(self, database: str, names: list[str] | None = None) -> list[str]:
+    def materialize(self, database: str, names: list[str] | None = None,
+                    presentation_database: str | None = None) -> list[str]:
         """Write dimensions and marts as tables in ``database`` (full
-        refresh) and re-point later relations at the written tables.
-        Presentation relations stay views over them. Returns the tables
-        written."""
+        refresh), check their unique keys (a duplicate raises, as a failed
+        unique index stops the reference's run), and re-point later
+        relations at the written tables. With ``presentation_database``,
+        the presentation relations are also written there as tables for BI
+        import. Returns the tables written."""
+        from revmart.operators.quality import UNIQUE_KEYS, assert_unique
+
         written = []
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, (group, _) in RELATIONS.items():
             if group != DIMS_MARTS or (names is not None and name not in names):
                 continue
             full = f"{database}.{name}"
-            self.relation(name).write.mode("overwrite").saveAsTable(full)
-            self._overrides[name] = self.spark.table(full)
+            self.relation(name).write.mode("overwrite").format("parquet").saveAsTable(full)
+            table = self.spark.table(full)
+            for rel, key in UNIQUE_KEYS:
+                if rel == name:
+                    assert_unique(table, key, full)
+            self._overrides[name] = table
             written.append(full)
         # downstream frames must be rebuilt over the written tables
         self._cache = {k: v for k, v in self._cache.items()
                        if RELATIONS[k][0] == STAGING}
+        if presentation_database:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {presentation_database}")
+            for name, (group, _) in RELATIONS.items():
+                if group in (STAGING, DIMS_MARTS):
+                    continue
+                full = f"{presentation_database}.{name}"
+                self.relation(name).write.mode("overwrite").format("parquet").saveAsTable(full)
+                written.append(full)
         return written
 
 
