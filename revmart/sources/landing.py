@@ -118,6 +118,12 @@ def _fmt_of(path: str) -> str | None:
     return FORMATS.get(os.path.splitext(path)[1].lower())
 
 
+def _is_dataset(path: str) -> bool:
+    """A folder written by a distributed writer (part files / _SUCCESS)."""
+    names = os.listdir(path)
+    return "_SUCCESS" in names or any(n.startswith("part-") for n in names)
+
+
 def discover(root: str) -> list[Sheet]:
     """Sheets under ``root`` in sorted order (names only, no data read)."""
     sheets: list[Sheet] = []
@@ -130,7 +136,7 @@ def discover(root: str) -> list[Sheet]:
             sheets.append(Sheet(entry, stem, clean_name(stem), full, FORMATS[ext.lower()]))
         elif os.path.isdir(full):
             fmt = _fmt_of(full)
-            if fmt is not None and not any(os.path.isdir(os.path.join(full, f)) for f in os.listdir(full)):
+            if fmt is not None and _is_dataset(full):
                 # a dataset folder (part files) is one table on its own
                 sheets.append(Sheet(entry, entry, clean_name(entry), full, fmt))
                 continue
