@@ -1,7 +1,6 @@
-"""Incremental refresh of the landing zone.
+"""Streaming: intentionally empty.
 
-The reference has no streaming semantics: it is a batch full refresh run
-when new extracts are dropped into its data folder. ``refresh`` re-expresses
-that trigger with Structured Streaming's file source (``availableNow``), so
-each new batch of files runs the same landing step exactly once.
+The reference has no streaming semantics -- it is a batch full refresh run
+when new extracts are dropped into its landing folder (see
+``revmart.sources.landing``). No watermarks, windows or state are needed.
 """
