@@ -41,16 +41,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer input splits than task slots.
+    """Spread a scan that has fewer input splits than task slots.
 
     A fact stored as one file with one row group is read by a single task,
-    which would then run every join and per-row cast alone. A layout with at
-    least as many splits as slots (any large multi-file table) is returned
-    unchanged, so no shuffle is added at scale.
+    which would then run every join and per-row cast alone. The rows are
+    hash-partitioned on ``monotonically_increasing_id()`` taken right at the
+    scan: unique per row (so even exact duplicate rows are spread), stable
+    on a retry (split index + position in the split), and unlike a
+    round-robin repartition it needs no sort. A layout with at least as many
+    splits as slots (any large multi-file table) is returned unchanged, so
+    no shuffle is added at scale.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
+        return df.repartition(slots, F.monotonically_increasing_id())
     return df
 
 
