@@ -118,6 +118,23 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     return df.limit(rows)
 
 
+def inspect(warehouse, group: str | None = None, relation: str | None = None,
+            rows: int = 5) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The inspector's three modes: every relation, one page group (matched
+    by substring, case-insensitive) or one relation. Returns the profile
+    frame and a preview frame per relation (both lazy)."""
+    from revmart.plans.warehouse import RELATIONS
+    if relation is not None:
+        names = [relation]
+    elif group is not None:
+        names = [n for n, (g, _) in RELATIONS.items() if group.lower() in g.lower()]
+    else:
+        names = [n for n in RELATIONS]
+    if not names:
+        raise KeyError(f"no relation matches group={group!r} relation={relation!r}")
+    return relation_profile(warehouse, names), {n: preview(warehouse.relation(n), rows) for n in names}
+
+
 # Relations profiled by the registered profile query: the presentation
 # layer and the marts it reads (every relation the dashboard touches).
 PROFILED = (

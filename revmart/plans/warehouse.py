@@ -103,6 +103,16 @@ class Warehouse:
         return written
 
 
+def register_views(w: "Warehouse", names: list[str] | None = None, prefix: str = "") -> list[str]:
+    """Expose relations to SQL as temporary views (``prefix + name``), so
+    consumers can ``spark.sql("SELECT ... FROM vw_exec_kpi_scorecard")``."""
+    out = []
+    for n in names or list(RELATIONS):
+        w.relation(n).createOrReplaceTempView(prefix + n)
+        out.append(prefix + n)
+    return out
+
+
 def _rfm(w: Warehouse) -> DataFrame:
     as_of = w.as_of or _dt.date.today()
     return customer.vw_customer_rfm(w["stg_sales"], w["stg_customers"], as_of)
