@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from revmart.functions import MONEY, pct
 from revmart.operators.ntile import add_ntile
 from revmart.plans.executive import sales_by_customer_year
+from revmart.plans.marts import customer_multiplicity
 
 LONG = T.LongType()
 INT = T.IntegerType()
@@ -27,19 +28,16 @@ def vw_customer_performance(mart_customer: DataFrame) -> DataFrame:
 
 
 def vw_customer_yearly_revenue(stg_sales: DataFrame, stg_customers: DataFrame) -> DataFrame:
-    """P5: customer x year revenue, profit, units and orders."""
-    j = sales_by_customer_year(stg_sales).join(stg_customers, "customer_id")
-    g = j.groupBy("customer_id", "customer_segment", "country", F.col("order_year").alias("year")).agg(
-        F.sum("_rev").alias("_rev"),
-        F.sum("_profit").alias("_profit"),
-        F.sum("_units").alias("_units"),
-        F.max("_orders").alias("_orders"),
-    )
-    return g.select(
-        "customer_id", "customer_segment", "country", "year",
-        F.col("_rev").cast(MONEY).alias("revenue"),
-        F.col("_profit").cast(MONEY).alias("profit"),
-        F.col("_units").cast(LONG).alias("units_sold"),
+    """P5: customer x year revenue, profit, units and orders. Both sides are
+    unique on the join key's grain, so every join row is one output row."""
+    cust = customer_multiplicity(stg_customers, ["customer_segment", "country"])
+    j = sales_by_customer_year(stg_sales).join(cust, "customer_id")
+    k = F.col("_k")
+    return j.select(
+        "customer_id", "customer_segment", "country", F.col("order_year").alias("year"),
+        (F.col("_rev") * k).cast(MONEY).alias("revenue"),
+        (F.col("_profit") * k).cast(MONEY).alias("profit"),
+        (F.col("_units") * k).cast(LONG).alias("units_sold"),
         F.col("_orders").cast(LONG).alias("orders"),
     ).orderBy(F.col("customer_id").asc_nulls_last(), F.col("year").asc_nulls_last())
 
@@ -56,12 +54,14 @@ def vw_customer_country_summary(stg_sales: DataFrame, stg_customers: DataFrame)
         F.sum("calculated_profit").alias("_profit"),
         F.sum("units_sold").alias("_units"),
     )
-    j = per_order.join(stg_customers, "customer_id")
+    cust = customer_multiplicity(stg_customers, ["country", "customer_segment"])
+    j = per_order.join(cust, "customer_id")
+    k = F.col("_k")
     g = j.groupBy("country", "customer_segment", F.col("order_year").alias("year")).agg(
         F.countDistinct("customer_id").alias("customer_count"),
-        F.sum("_rev").alias("_rev"),
-        F.sum("_profit").alias("_profit"),
-        F.sum("_units").alias("_units"),
+        F.sum(F.col("_rev") * k).alias("_rev"),
+        F.sum(F.col("_profit") * k).alias("_profit"),
+        F.sum(F.col("_units") * k).alias("_units"),
         F.countDistinct("order_id").alias("total_orders"),
     )
     return g.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import MONEY, growth_pct, pct
+from revmart.plans.marts import customer_multiplicity
 
 LONG = T.LongType()
 
@@ -59,11 +60,12 @@ def sales_by_customer_year(stg_sales: DataFrame) -> DataFrame:
 def vw_exec_segment_summary(stg_sales: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """Year x segment customers, revenue, profit, margin and share of
     the year's revenue (share via a window over the grouped rows)."""
-    j = sales_by_customer_year(stg_sales).join(stg_customers, "customer_id")
+    cust = customer_multiplicity(stg_customers, ["customer_segment"])
+    j = sales_by_customer_year(stg_sales).join(cust, "customer_id")
     g = j.groupBy(F.col("order_year").alias("year"), F.col("customer_segment").alias("segment")).agg(
         F.countDistinct("customer_id").alias("customer_count"),
-        F.sum("_rev").alias("_rev"),
-        F.sum("_profit").alias("_profit"),
+        F.sum(F.col("_rev") * F.col("_k")).alias("_rev"),
+        F.sum(F.col("_profit") * F.col("_k")).alias("_profit"),
     )
     year_total = F.sum("_rev").over(Window.partitionBy("year"))
     return g.select(

@@ -113,36 +113,38 @@ def _customer_rollup(stg_sales: DataFrame) -> DataFrame:
     )
 
 
+def customer_multiplicity(stg_customers: DataFrame, attrs: list[str]) -> DataFrame:
+    """Distinct (customer_id, attrs) rows with their number of copies ``_k``.
+
+    The reference joins the fact to the raw customer rows, so k identical
+    copies of a customer multiply its sums by k. Counting the copies with a
+    partial + final aggregation collapses them on the map side, so even an
+    id copied across a third of the table never lands whole in one task,
+    and each join output row is exactly one output group.
+    """
+    return (stg_customers.where(F.col("customer_id").isNotNull())
+            .groupBy("customer_id", *attrs).agg(F.count(F.lit(1)).alias("_k")))
+
+
 def mart_customer_sales(stg_sales: DataFrame, stg_customers: DataFrame) -> DataFrame:
     """M3: per-customer value, inner-joined to the customer attributes."""
     per_cust = _customer_rollup(stg_sales)
-    j = per_cust.join(stg_customers, "customer_id")
-    # Identical duplicate customer rows collapse into one group whose sums
-    # are multiplied, exactly as join-then-aggregate would do. The join
-    # output is already hash-partitioned by customer_id, so this grouping
-    # (keys include customer_id) adds no shuffle.
-    g = j.groupBy("customer_id", "customer_segment", "country", "discount_premium_band").agg(
-        F.max("total_orders").alias("total_orders"),
-        F.sum("_units").alias("_units"),
-        F.sum("_rev").alias("_rev"),
-        F.sum("_profit").alias("_profit"),
-        F.min("first_order_date").alias("first_order_date"),
-        F.max("last_order_date").alias("last_order_date"),
-        F.max("active_years").alias("active_years"),
-        F.sum("_disc").alias("_disc"),
-    )
-    return g.select(
+    cust = customer_multiplicity(stg_customers, ["customer_segment", "country", "discount_premium_band"])
+    j = per_cust.join(cust, "customer_id")
+    k = F.col("_k")
+    rev = F.col("_rev") * k
+    return j.select(
         uuid5(F.col("customer_id")).alias("customer_sales_key"),
         "customer_id", "customer_segment", "country", "discount_premium_band",
         F.col("total_orders").cast(LONG).alias("total_orders"),
-        F.col("_units").cast(LONG).alias("total_units"),
-        F.col("_rev").cast(MONEY).alias("total_revenue"),
-        F.col("_profit").cast(MONEY).alias("total_profit"),
-        pct(F.col("_profit"), F.col("_rev")).alias("profit_margin_pct"),
+        (F.col("_units") * k).cast(LONG).alias("total_units"),
+        rev.cast(MONEY).alias("total_revenue"),
+        (F.col("_profit") * k).cast(MONEY).alias("total_profit"),
+        pct(F.col("_profit") * k, rev).alias("profit_margin_pct"),
         "first_order_date", "last_order_date",
         F.col("active_years").cast(LONG).alias("active_years"),
-        ratio(F.col("_rev"), F.col("total_orders"), 2, MONEY).alias("avg_order_value"),
-        F.col("_disc").cast(MONEY).alias("total_discount_premium"),
+        ratio(rev, F.col("total_orders"), 2, MONEY).alias("avg_order_value"),
+        (F.col("_disc") * k).cast(MONEY).alias("total_discount_premium"),
     )
 
 

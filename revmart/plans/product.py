@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from revmart.functions import (
     MONEY, PCT, UNIT_PRICE, UNIT_PRICE4, pct, ratio, round_div_int, scaled,
 )
+from revmart.plans.marts import customer_multiplicity
 
 LONG = T.LongType()
 INT = T.IntegerType()
@@ -72,12 +73,14 @@ def vw_product_segment_matrix(stg_sales: DataFrame, stg_customers: DataFrame) ->
         F.sum("revenue").alias("_rev"),
         F.sum("calculated_profit").alias("_profit"),
     )
-    j = per_cust.join(stg_customers, "customer_id")
+    cust = customer_multiplicity(stg_customers, ["customer_segment"])
+    j = per_cust.join(cust, "customer_id")
+    k = F.col("_k")
     g = j.groupBy("product_id", F.col("customer_segment").alias("segment"),
                   F.col("order_year").alias("year")).agg(
-        F.sum("_units").alias("_units"),
-        F.sum("_rev").alias("_rev"),
-        F.sum("_profit").alias("_profit"),
+        F.sum(F.col("_units") * k).alias("_units"),
+        F.sum(F.col("_rev") * k).alias("_rev"),
+        F.sum(F.col("_profit") * k).alias("_profit"),
         F.countDistinct("customer_id").alias("customers"),
     )
     return g.select(
