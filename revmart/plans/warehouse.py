@@ -66,6 +66,12 @@ class Warehouse:
 
     __getitem__ = relation
 
+    def use_table(self, name: str, table: str) -> None:
+        """Serve relation ``name`` from an existing table (e.g. one written by
+        an earlier ``materialize``) instead of recomputing it."""
+        self._overrides[name] = self.spark.table(table)
+        self._cache = {k: v for k, v in self._cache.items() if RELATIONS[k][0] == STAGING}
+
     def materialize(self, database: str, names: list[str] | None = None,
                     presentation_database: str | None = None) -> list[str]:
         """Write dimensions and marts as tables in ``database`` (full
