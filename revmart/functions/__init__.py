@@ -2,9 +2,8 @@
 
 from revmart.functions.keys import uuid5
 from revmart.functions.numeric import (
-    BAND, INDEX3, MONEY, MONEY_DIFF, PCT, PCT1, RATE, TENURE, UNIT_PRICE,
-    UNIT_PRICE4, growth_pct, money, pct, pg_int, ratio, round_div_int,
-    round_double, scaled,
+    BAND, INDEX3, MONEY, MONEY_DIFF, MONEY_TOTAL, PCT, PCT1, RATE, TENURE, UNIT_PRICE,
+    UNIT_PRICE4, growth_pct, pct, pg_int, ratio, round_div_int, scaled,
 )
 from revmart.functions.text import (
     month_abbr, month_name, month_name_padded, month_start, varchar,
@@ -12,9 +11,9 @@ from revmart.functions.text import (
 )
 
 __all__ = [
-    "uuid5", "BAND", "INDEX3", "MONEY", "MONEY_DIFF", "PCT", "PCT1", "RATE",
-    "TENURE", "UNIT_PRICE", "UNIT_PRICE4", "growth_pct", "money", "pct",
-    "pg_int", "ratio", "round_div_int", "round_double", "scaled",
+    "uuid5", "BAND", "INDEX3", "MONEY", "MONEY_DIFF", "MONEY_TOTAL", "PCT", "PCT1", "RATE",
+    "TENURE", "UNIT_PRICE", "UNIT_PRICE4", "growth_pct", "pct",
+    "pg_int", "ratio", "round_div_int", "scaled",
     "month_abbr", "month_name", "month_name_padded", "month_start", "varchar",
     "year_month_label",
 ]

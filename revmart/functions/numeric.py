@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Declared output types of the warehouse (fixed values of the data model).
-MONEY = T.DecimalType(15, 2)          # revenue, cost, profit, cash flow totals
+MONEY = T.DecimalType(15, 2)          # money on one row; project cash flows
+# Money aggregated over the sales fact (sums, totals, year-to-date, trends).
+# Declared wider than a row's NUMERIC(15,2): yearly revenue passes 1e13 long
+# before 100 TB of sales, and a narrower type would abort the job (ANSI).
+MONEY_TOTAL = T.DecimalType(38, 2)
 MONEY_DIFF = T.DecimalType(16, 2)     # revenue - cogs on one row
 UNIT_PRICE = T.DecimalType(12, 2)     # per-unit prices
 UNIT_PRICE4 = T.DecimalType(12, 4)    # per-unit averages at 4 decimals
@@ -82,16 +86,6 @@ def growth_pct(cur: Column, prev: Column) -> Column:
     return pct(cur - prev, prev)
 
 
-def money(c: Column) -> Column:
-    return c.cast(MONEY)
-
-
-def round_double(c: Column, scale: int, dtype: T.DecimalType) -> Column:
-    """Round a double (power, log, regression) and cast to the declared
-    decimal. Used where the reference evaluates transcendental functions."""
-    return F.round(c, scale).cast(dtype)
-
-
 def pg_int(c: Column, source_type: T.DataType) -> Column:
     """``::INT`` as a numeric cast would do it: round, do not truncate."""
     if isinstance(source_type, (T.DoubleType, T.FloatType)):

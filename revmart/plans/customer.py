@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import MONEY, pct
+from revmart.functions import MONEY_TOTAL, pct
 from revmart.operators.ntile import add_ntile
 from revmart.plans.executive import sales_by_customer_year
 from revmart.plans.marts import customer_multiplicity
@@ -35,8 +35,8 @@ def vw_customer_yearly_revenue(stg_sales: DataFrame, stg_customers: DataFrame) -
     k = F.col("_k")
     return j.select(
         "customer_id", "customer_segment", "country", F.col("order_year").alias("year"),
-        (F.col("_rev") * k).cast(MONEY).alias("revenue"),
-        (F.col("_profit") * k).cast(MONEY).alias("profit"),
+        (F.col("_rev") * k).cast(MONEY_TOTAL).alias("revenue"),
+        (F.col("_profit") * k).cast(MONEY_TOTAL).alias("profit"),
         (F.col("_units") * k).cast(LONG).alias("units_sold"),
         F.col("_orders").cast(LONG).alias("orders"),
     ).orderBy(F.col("customer_id").asc_nulls_last(), F.col("year").asc_nulls_last())
@@ -67,8 +67,8 @@ def vw_customer_country_summary(stg_sales: DataFrame, stg_customers: DataFrame)
     return g.select(
         "country", "customer_segment", "year",
         F.col("customer_count").cast(LONG).alias("customer_count"),
-        F.col("_rev").cast(MONEY).alias("total_revenue"),
-        F.col("_profit").cast(MONEY).alias("total_profit"),
+        F.col("_rev").cast(MONEY_TOTAL).alias("total_revenue"),
+        F.col("_profit").cast(MONEY_TOTAL).alias("total_profit"),
         pct(F.col("_profit"), F.col("_rev")).alias("margin_pct"),
         F.col("_units").cast(LONG).alias("total_units"),
         F.col("total_orders").cast(LONG).alias("total_orders"),
@@ -108,7 +108,7 @@ def vw_customer_rfm(stg_sales: DataFrame, stg_customers: DataFrame,
     ).select(
         "customer_id", "last_order_date",
         F.col("frequency").cast(LONG).alias("frequency"),
-        F.col("_monetary").cast(MONEY).alias("monetary"),
+        F.col("_monetary").cast(MONEY_TOTAL).alias("monetary"),
         F.datediff(F.lit(as_of), F.col("last_order_date")).cast(INT).alias("recency_days"),
     )
     tie = F.col("customer_id").asc_nulls_last()

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import MONEY, growth_pct, pct
+from revmart.functions import MONEY_TOTAL, growth_pct, pct
 from revmart.plans.marts import customer_multiplicity
 
 LONG = T.LongType()
@@ -71,8 +71,8 @@ def vw_exec_segment_summary(stg_sales: DataFrame, stg_customers: DataFrame) -> D
     return g.select(
         "year", "segment",
         F.col("customer_count").cast(LONG).alias("customer_count"),
-        F.col("_rev").cast(MONEY).alias("total_revenue"),
-        F.col("_profit").cast(MONEY).alias("total_profit"),
+        F.col("_rev").cast(MONEY_TOTAL).alias("total_revenue"),
+        F.col("_profit").cast(MONEY_TOTAL).alias("total_profit"),
         pct(F.col("_profit"), F.col("_rev")).alias("margin_pct"),
         pct(F.col("_rev"), year_total).alias("revenue_share_pct"),
     ).orderBy(F.col("year").asc_nulls_last(), F.col("total_revenue").desc_nulls_first())

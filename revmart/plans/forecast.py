@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import MONEY, PCT, ratio
+from revmart.functions import MONEY_TOTAL, PCT, ratio
 from revmart.plans.product import mean_ratio_pct, ratio_units
 
 INT = T.IntegerType()
@@ -71,14 +71,14 @@ def vw_revenue_forecast_linear(mart_annual: DataFrame) -> DataFrame:
     ).select(
         F.col("year").cast(INT).alias("year"),
         F.lit("Forecast").alias("record_type"),
-        F.round(F.col("_slope") * F.col("year") + F.col("_intercept"), 0).cast(MONEY).alias("projected_revenue"),
-        F.lit(None).cast(MONEY).alias("actual_revenue"),
+        F.round(F.col("_slope") * F.col("year") + F.col("_intercept"), 0).cast(MONEY_TOTAL).alias("projected_revenue"),
+        F.lit(None).cast(MONEY_TOTAL).alias("actual_revenue"),
     )
     act = mart_annual.select(
         F.col("performance_year").cast(INT).alias("year"),
         F.lit("Actual").alias("record_type"),
-        F.lit(None).cast(MONEY).alias("projected_revenue"),
-        F.col("actual_revenue").cast(MONEY).alias("actual_revenue"),
+        F.lit(None).cast(MONEY_TOTAL).alias("projected_revenue"),
+        F.col("actual_revenue").cast(MONEY_TOTAL).alias("actual_revenue"),
     )
     return fc.unionByName(act).orderBy(F.col("year").asc_nulls_last())
 
@@ -109,7 +109,7 @@ def vw_revenue_seasonality(stg_sales: DataFrame) -> DataFrame:
     return g.select(
         "month_num", "month_abbr",
         mean_ratio_pct(F.col("_su"), F.col("_sn")).alias("avg_month_share_pct"),
-        ratio(F.col("_msum"), F.col("_mn"), 0, MONEY).alias("avg_monthly_revenue"),
-        F.col("_mmax").cast(MONEY).alias("max_monthly_revenue"),
-        F.col("_mmin").cast(MONEY).alias("min_monthly_revenue"),
+        ratio(F.col("_msum"), F.col("_mn"), 0, MONEY_TOTAL).alias("avg_monthly_revenue"),
+        F.col("_mmax").cast(MONEY_TOTAL).alias("max_monthly_revenue"),
+        F.col("_mmin").cast(MONEY_TOTAL).alias("min_monthly_revenue"),
     ).orderBy(F.col("month_num").asc_nulls_last())

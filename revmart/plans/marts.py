@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY, PCT, RATE, UNIT_PRICE4, pct, ratio, uuid5, year_month_label,
+    MONEY, MONEY_TOTAL, PCT, RATE, UNIT_PRICE4, pct, ratio, uuid5, year_month_label,
 )
 
 INT = T.IntegerType()
@@ -51,14 +51,14 @@ def mart_annual_performance(stg_sales: DataFrame, stg_targets: DataFrame) -> Dat
     return j.select(
         uuid5(F.col("performance_year").cast("string")).alias("annual_performance_key"),
         "performance_year",
-        rev.cast(MONEY).alias("actual_revenue"),
-        profit.cast(MONEY).alias("actual_profit"),
-        (F.col("_cogs") * k).cast(MONEY).alias("actual_cogs"),
+        rev.cast(MONEY_TOTAL).alias("actual_revenue"),
+        profit.cast(MONEY_TOTAL).alias("actual_profit"),
+        (F.col("_cogs") * k).cast(MONEY_TOTAL).alias("actual_cogs"),
         (F.col("_units") * k).cast(LONG).alias("units_sold"),
         F.col("total_orders").cast(LONG).alias("total_orders"),
         F.col("unique_customers").cast(LONG).alias("unique_customers"),
-        target0.cast(MONEY).alias("targeted_revenue"),
-        (rev - target0).cast(MONEY).alias("target_variance"),
+        target0.cast(MONEY_TOTAL).alias("targeted_revenue"),
+        (rev - target0).cast(MONEY_TOTAL).alias("target_variance"),
         pct(rev, F.col("_target")).alias("target_achievement_pct"),
         pct(profit, rev).alias("gross_margin_pct"),
     )
@@ -89,13 +89,13 @@ def mart_monthly_sales(stg_sales: DataFrame) -> DataFrame:
                 "order_month",
                 F.quarter("month_start").cast(INT).alias("order_quarter"),
                 F.date_format("month_start", "MMM").alias("month_abbr"),
-                F.col("_rev").cast(MONEY).alias("monthly_revenue"),
-                F.col("_profit").cast(MONEY).alias("monthly_profit"),
-                F.col("_cogs").cast(MONEY).alias("monthly_cogs"),
+                F.col("_rev").cast(MONEY_TOTAL).alias("monthly_revenue"),
+                F.col("_profit").cast(MONEY_TOTAL).alias("monthly_profit"),
+                F.col("_cogs").cast(MONEY_TOTAL).alias("monthly_cogs"),
                 F.col("monthly_units").cast(LONG).alias("monthly_units"),
                 F.col("order_count").cast(LONG).alias("order_count"),
                 pct(F.col("_profit"), F.col("_rev")).alias("margin_pct"),
-                F.sum("_rev").over(ytd_w).cast(MONEY).alias("ytd_revenue"),
+                F.sum("_rev").over(ytd_w).cast(MONEY_TOTAL).alias("ytd_revenue"),
             ))
 
 
@@ -138,13 +138,13 @@ def mart_customer_sales(stg_sales: DataFrame, stg_customers: DataFrame) -> DataF
         "customer_id", "customer_segment", "country", "discount_premium_band",
         F.col("total_orders").cast(LONG).alias("total_orders"),
         (F.col("_units") * k).cast(LONG).alias("total_units"),
-        rev.cast(MONEY).alias("total_revenue"),
-        (F.col("_profit") * k).cast(MONEY).alias("total_profit"),
+        rev.cast(MONEY_TOTAL).alias("total_revenue"),
+        (F.col("_profit") * k).cast(MONEY_TOTAL).alias("total_profit"),
         pct(F.col("_profit") * k, rev).alias("profit_margin_pct"),
         "first_order_date", "last_order_date",
         F.col("active_years").cast(LONG).alias("active_years"),
         ratio(rev, F.col("total_orders"), 2, MONEY).alias("avg_order_value"),
-        (F.col("_disc") * k).cast(MONEY).alias("total_discount_premium"),
+        (F.col("_disc") * k).cast(MONEY_TOTAL).alias("total_discount_premium"),
     )
 
 
@@ -165,9 +165,9 @@ def mart_product_sales(stg_sales: DataFrame) -> DataFrame:
         uuid5(F.col("product_id")).alias("product_sales_key"),
         "product_id",
         u.cast(LONG).alias("total_units_sold"),
-        F.col("_rev").cast(MONEY).alias("total_revenue"),
-        F.col("_cogs").cast(MONEY).alias("total_cogs"),
-        F.col("_profit").cast(MONEY).alias("total_profit"),
+        F.col("_rev").cast(MONEY_TOTAL).alias("total_revenue"),
+        F.col("_cogs").cast(MONEY_TOTAL).alias("total_cogs"),
+        F.col("_profit").cast(MONEY_TOTAL).alias("total_profit"),
         pct(F.col("_profit"), F.col("_rev")).alias("gross_margin_pct"),
         ratio(F.col("_cogs"), u, 4, UNIT_PRICE4).alias("avg_unit_mfg_cost"),
         ratio(F.col("_rev"), u, 4, UNIT_PRICE4).alias("avg_unit_revenue"),

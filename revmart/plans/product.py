@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY, PCT, UNIT_PRICE, UNIT_PRICE4, pct, ratio, round_div_int, scaled,
+    MONEY_TOTAL, PCT, UNIT_PRICE, UNIT_PRICE4, pct, ratio, round_div_int, scaled,
 )
 from revmart.plans.marts import customer_multiplicity
 
@@ -59,8 +59,8 @@ def vw_product_monthly_trend(stg_sales: DataFrame) -> DataFrame:
         "order_year", "order_month",
         F.quarter(ms).cast(INT).alias("order_quarter"),
         F.col("_units").cast(LONG).alias("units_sold"),
-        F.col("_rev").cast(MONEY).alias("revenue"),
-        F.col("_profit").cast(MONEY).alias("profit"),
+        F.col("_rev").cast(MONEY_TOTAL).alias("revenue"),
+        F.col("_profit").cast(MONEY_TOTAL).alias("profit"),
         pct(F.col("_profit"), F.col("_rev")).alias("margin_pct"),
     ).orderBy(F.col("product_id").asc_nulls_last(), F.col("month_start").asc_nulls_last())
 
@@ -86,8 +86,8 @@ def vw_product_segment_matrix(stg_sales: DataFrame, stg_customers: DataFrame) ->
     return g.select(
         "product_id", "segment", "year",
         F.col("_units").cast(LONG).alias("units_sold"),
-        F.col("_rev").cast(MONEY).alias("revenue"),
-        F.col("_profit").cast(MONEY).alias("profit"),
+        F.col("_rev").cast(MONEY_TOTAL).alias("revenue"),
+        F.col("_profit").cast(MONEY_TOTAL).alias("profit"),
         pct(F.col("_profit"), F.col("_rev")).alias("margin_pct"),
         F.col("customers").cast(LONG).alias("customers"),
         ratio(F.col("_rev"), F.col("_units"), 2, UNIT_PRICE).alias("avg_unit_price"),
@@ -116,7 +116,7 @@ def vw_product_pricing(stg_sales: DataFrame) -> DataFrame:
         ratio(F.col("_tgt_sum"), F.col("_tgt_n"), 4, UNIT_PRICE4).alias("avg_target_price"),
         ratio(F.col("_rev"), F.col("_units"), 4, UNIT_PRICE4).alias("avg_actual_unit_price"),
         mean_ratio_pct(F.col("_disc_units"), F.col("_disc_n")).alias("avg_discount_premium_pct"),
-        F.col("_disc").cast(MONEY).alias("total_discount_premium"),
-        F.col("_gross").cast(MONEY).alias("total_gross_sales"),
-        F.col("_rev").cast(MONEY).alias("total_net_revenue"),
+        F.col("_disc").cast(MONEY_TOTAL).alias("total_discount_premium"),
+        F.col("_gross").cast(MONEY_TOTAL).alias("total_gross_sales"),
+        F.col("_rev").cast(MONEY_TOTAL).alias("total_net_revenue"),
     ).orderBy(F.col("product_id").asc_nulls_last(), F.col("year").asc_nulls_last())
