@@ -47,21 +47,23 @@ def with_global_row_number(df: DataFrame, order: list[Column], out: str,
                            num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Add 1-based global row number ``out`` in the given order.
 
-    Returns (frame with row number, one-row frame holding the total ``__nt_n``).
+    Returns (frame with the row number, per-partition offsets frame with the
+    total ``__nt_n``).
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = (df.repartitionByRange(num_partitions, *order)
+    ensure_checkpoint_dir(df.sparkSession)
+    # Without an explicit count AQE may coalesce the range partitions; it
+    # merges only neighbouring ranges, in order, so the partition index read
+    # below still orders the rows globally.
+    ranged = (df.repartitionByRange(*order) if num_partitions is None
+              else df.repartitionByRange(num_partitions, *order))
+    laid = (ranged
               .sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id())
               .checkpoint(eager=True))
     counts = laid.groupBy(_PID).agg(F.count(F.lit(1)).alias("__nt_cnt"),
                                     F.min(_MID).alias("__nt_first"))
-    # One row per partition: the window below is over at most
-    # `num_partitions` rows.
+    # One row per range partition: the windows below see only these rows.
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         _PID, "__nt_first",

@@ -28,6 +28,16 @@ def test_ntile_equals_window(spark, n, k):
     assert max(sizes.values()) - min(sizes.values()) <= 1
 
 
+def test_ntile_with_adaptive_range_partitions(spark):
+    """No explicit partition count: AQE may coalesce neighbouring ranges."""
+    rows = [(f"c{i:05d}", i % 13) for i in range(2503)]
+    df = spark.createDataFrame(rows, "id string, m int").repartition(7)
+    order = [F.col("m").desc_nulls_first(), F.col("id").asc_nulls_last()]
+    got = {r["id"]: r["t"] for r in add_ntile(df, 5, order, "t").collect()}
+    ref = {r["id"]: r["t"] for r in df.withColumn("t", F.ntile(5).over(Window.orderBy(*order))).collect()}
+    assert got == ref
+
+
 def test_ntile_nulls_last_and_null_ids(spark):
     rows = [("a", 3), ("b", None), (None, 1), ("c", 1), ("d", 2), ("e", 2)]
     df = spark.createDataFrame(rows, "id string, m int")
