@@ -38,7 +38,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; else ``<warehouse>/_checkpoints/<app id>``
     (shared storage on a cluster, a local folder in local mode and tests).
     """
-    cur = _current_checkpoint_dir(spark)
+    try:
+        cur = _current_checkpoint_dir(spark)
+    except Exception:  # no driver-side context (remote session): server decides
+        return ""
     if cur:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \

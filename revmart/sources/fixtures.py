@@ -9,6 +9,7 @@ columns and pushes filters into the scans.
 
 from __future__ import annotations
 
+import weakref
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 FACT_TABLES = ("lineitem",)
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+# Scans reused per live session object (weak keys: a stopped and replaced
+# session never sees another session's frames).
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,11 +36,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session (a DataFrame is immutable), so file listing and footer reads
     happen once per table instead of once per relation."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _SCANS:
+    per_session = _SCANS.setdefault(spark, {})
+    if path not in per_session:
         df = spark.read.parquet(path)
-        _SCANS[key] = spread(df) if name in FACT_TABLES else df
-    return _SCANS[key]
+        per_session[path] = spread(df) if name in FACT_TABLES else df
+    return per_session[path]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -52,8 +55,12 @@ def spread(df: DataFrame) -> DataFrame:
     splits as slots (any large multi-file table) is returned unchanged, so
     no shuffle is added at scale.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session)
+        return df
+    if splits < slots:
         return df.repartition(slots, F.monotonically_increasing_id())
     return df
 
