@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import UNIT_PRICE, UNIT_PRICE4, ratio, uuid5
+from revmart.functions import UNIT_PRICE, UNIT_PRICE4, month_abbr, month_name, month_start, ratio, uuid5
 
 INT = T.IntegerType()
 
@@ -68,13 +68,13 @@ def dim_date(spark: SparkSession, start: _dt.date = CALENDAR_START,
         F.quarter(dd).cast(INT).alias("calendar_quarter"),
         F.concat(F.lit("Q"), F.quarter(dd).cast("string")).alias("quarter_name"),
         F.month(dd).cast(INT).alias("month_number"),
-        F.date_format(dd, "MMMM").alias("month_name"),
-        F.date_format(dd, "MMM").alias("month_abbr"),
-        F.concat(F.date_format(dd, "MMMM"), F.lit(" "), F.year(dd).cast("string")).alias("month_year_label"),
+        month_name(dd).alias("month_name"),
+        month_abbr(dd).alias("month_abbr"),
+        F.concat(month_name(dd), F.lit(" "), F.year(dd).cast("string")).alias("month_year_label"),
         F.date_format(dd, "E").alias("day_of_week_short"),
         (F.weekday(dd) + 1).cast(INT).alias("day_of_week_number"),
         F.trunc(dd, "week").alias("week_start_date"),
-        F.trunc(dd, "MM").alias("month_start_date"),
+        month_start(dd).alias("month_start_date"),
         F.trunc(dd, "quarter").alias("quarter_start_date"),
         F.when(F.month(dd) >= 7, F.year(dd) + 1).otherwise(F.year(dd)).cast(INT).alias("fiscal_year"),
     )

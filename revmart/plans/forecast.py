@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import MONEY_TOTAL, PCT, ratio
+from revmart.functions import MONEY_TOTAL, PCT, month_abbr, ratio
 from revmart.plans.product import mean_ratio_pct, ratio_units
 
 INT = T.IntegerType()
@@ -97,7 +97,7 @@ def vw_revenue_seasonality(stg_sales: DataFrame) -> DataFrame:
     share = monthly.withColumn("_share_units", ratio_units(F.col("_m"), annual))
     g = share.groupBy(
         "month_num",
-        F.date_format(F.make_date(F.lit(2000), F.col("month_num"), F.lit(1)), "MMM").alias("month_abbr"),
+        month_abbr(F.make_date(F.lit(2000), F.col("month_num"), F.lit(1))).alias("month_abbr"),
     ).agg(
         F.sum("_share_units").alias("_su"),
         F.count("_share_units").alias("_sn"),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY, MONEY_TOTAL, PCT, RATE, UNIT_PRICE4, pct, ratio, uuid5, year_month_label,
+    MONEY, MONEY_TOTAL, PCT, RATE, UNIT_PRICE4, month_abbr, pct, ratio, uuid5, year_month_label,
 )
 
 INT = T.IntegerType()
@@ -88,7 +88,7 @@ def mart_monthly_sales(stg_sales: DataFrame) -> DataFrame:
                 "order_year",
                 "order_month",
                 F.quarter("month_start").cast(INT).alias("order_quarter"),
-                F.date_format("month_start", "MMM").alias("month_abbr"),
+                month_abbr(F.col("month_start")).alias("month_abbr"),
                 F.col("_rev").cast(MONEY_TOTAL).alias("monthly_revenue"),
                 F.col("_profit").cast(MONEY_TOTAL).alias("monthly_profit"),
                 F.col("_cogs").cast(MONEY_TOTAL).alias("monthly_cogs"),

@@ -186,6 +186,3 @@ RELATIONS: dict[str, tuple[str, Builder]] = {
 def group_of(name: str) -> str:
     return RELATIONS[name][0]
 
-
-def names_in(group: str) -> list[str]:
-    return [n for n, (g, _) in RELATIONS.items() if g == group]

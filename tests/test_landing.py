@@ -108,3 +108,19 @@ def test_profile_counts_nulls(spark):
            for r in quality.profile(df, "t", "g").collect()}
     assert got == {"a": ("INTEGER", 3, 1), "b": ("VARCHAR", 3, 2)}
     assert quality.preview(df, 2).count() == 2
+
+
+def test_register_views_and_inspect(spark):
+    from revmart.plans.warehouse import register_views
+    w = Warehouse.from_testdata(spark, SF_SMALL, as_of=dt.date(2001, 12, 31))
+    names = register_views(w, ["vw_employee_dept_summary", "mart_annual_performance"], prefix="t_")
+    assert names == ["t_vw_employee_dept_summary", "t_mart_annual_performance"]
+    total = spark.sql("SELECT sum(headcount) AS n FROM t_vw_employee_dept_summary").first()["n"]
+    assert total == 10
+    prof, previews = quality.inspect(w, group="EMPLOY", rows=3)
+    assert set(previews) == {"vw_employee_dept_summary", "vw_employee_tenure_distribution",
+                             "vw_employee_hiring_cohort", "vw_employee_roster"}
+    assert all(p.count() <= 3 for p in previews.values())
+    assert {r["relation"] for r in prof.collect()} == set(previews)
+    with pytest.raises(KeyError):
+        quality.inspect(w, group="nope")
