@@ -13,12 +13,14 @@ Per sheet:
      reference's reader, or an explicit schema when given),
   2. clean the column names (Python on the names only, rows stay in Spark);
      two columns that clean to the same name are an error,
-  3. validate in ONE aggregate pass: row count and non-null count per column;
-     an empty sheet is skipped (the previous raw data stays), all-null
-     columns only warn,
-  4. full refresh: write the new data to a staging table, then swap it in,
-     so a failed write never leaves the raw table empty,
-  5. append an audit row (file, sheet, table, row count from step 3, run
+  3. write the sheet once, to a staging table (the only pass over the
+     extract besides csv type inference),
+  4. validate from that columnar copy in ONE aggregate pass: row count and
+     non-null count per column; an empty sheet is skipped (staging dropped,
+     the previous raw data stays), all-null columns only warn,
+  5. full refresh: swap the staging table in, so a failed write never
+     leaves the raw table empty,
+  6. append an audit row (file, sheet, table, row count from step 4, run
      mode, timestamp) to ``<database>.ingestion_log``.
 """
 
@@ -167,18 +169,28 @@ def _table_exists(spark: SparkSession, full: str) -> bool:
     return spark.catalog.tableExists(full)
 
 
-def load_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
-    """Full refresh by write-then-swap. Returns the run mode."""
-    full = f"{database}.{table}"
-    mode = FULL_REFRESH if _table_exists(spark, full) else INITIAL_LOAD
+def stage_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
+    """Write the new data next to the live table; returns the staging name."""
     staging = f"{database}.{table}__incoming"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     df.write.mode("overwrite").format("parquet").saveAsTable(staging)
+    return staging
+
+
+def swap_in(spark: SparkSession, staging: str, database: str, table: str) -> str:
+    """Replace the live table by the staged one. Returns the run mode."""
+    full = f"{database}.{table}"
+    mode = FULL_REFRESH if _table_exists(spark, full) else INITIAL_LOAD
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {full}")
     return mode
 
 
+def load_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
+    """Full refresh by write-then-swap. Returns the run mode."""
+    return swap_in(spark, stage_table(spark, df, database, table), database, table)
+
+
 def _audit(spark: SparkSession, database: str, rows: list[tuple]) -> None:
     if not rows:
         return
@@ -210,16 +222,18 @@ def land(spark: SparkSession, root: str, database: str = "raw",
                "null_columns": (), "error": None}
         try:
             df = sanitize_columns(read_sheet(spark, sh, (schemas or {}).get(sh.table_name)))
-            v = validate(df)
+            staging = stage_table(spark, df, database, sh.table_name)
+            v = validate(spark.table(staging))
             res["row_count"] = v.row_count
             res["null_columns"] = v.null_columns
             if v.null_columns:
                 log.warning("%s has entirely null columns: %s", sh.table_name, v.null_columns)
             if v.empty:
+                spark.sql(f"DROP TABLE IF EXISTS {staging}")
                 log.warning("%s is empty; skipped, previous data kept", sh.table_name)
                 res["run_mode"] = SKIPPED_EMPTY
             else:
-                res["run_mode"] = load_table(spark, df, database, sh.table_name)
+                res["run_mode"] = swap_in(spark, staging, database, sh.table_name)
                 log.info("%s.%s (%d rows) [%s]", database, sh.table_name, v.row_count, res["run_mode"])
         except Exception as e:  # confined to this sheet, like the reference
             log.error("failed to land %s/%s: %s", sh.file_name, sh.sheet_name, e)
