@@ -75,25 +75,29 @@ class Warehouse:
     def materialize(self, database: str, names: list[str] | None = None,
                     presentation_database: str | None = None) -> list[str]:
         """Write dimensions and marts as tables in ``database`` (full
-        refresh), check their unique keys (a duplicate raises, as a failed
-        unique index stops the reference's run), and re-point later
+        refresh, written next to the live table and swapped in), check their
+        unique keys first (a duplicate raises and keeps the previous table, as
+        a failed unique index stops the reference's run), and re-point later
         relations at the written tables. With ``presentation_database``,
         the presentation relations are also written there as tables for BI
         import. Returns the tables written."""
         from revmart.operators.quality import UNIQUE_KEYS, assert_unique
+        from revmart.sources.landing import stage_table, swap_in
 
         written = []
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         for name, (group, _) in RELATIONS.items():
             if group != DIMS_MARTS or (names is not None and name not in names):
                 continue
-            full = f"{database}.{name}"
-            self.relation(name).write.mode("overwrite").format("parquet").saveAsTable(full)
-            table = self.spark.table(full)
+            # write next to the live table, check keys, then swap: a failed
+            # build or a duplicate key leaves the previous table in place
+            staging = stage_table(self.spark, self.relation(name), database, name)
             for rel, key in UNIQUE_KEYS:
                 if rel == name:
-                    assert_unique(table, key, full)
-            self._overrides[name] = table
+                    assert_unique(self.spark.table(staging), key, f"{database}.{name}")
+            swap_in(self.spark, staging, database, name)
+            full = f"{database}.{name}"
+            self._overrides[name] = self.spark.table(full)
             written.append(full)
         # downstream frames must be rebuilt over the written tables
         self._cache = {k: v for k, v in self._cache.items()
@@ -103,9 +107,9 @@ class Warehouse:
             for name, (group, _) in RELATIONS.items():
                 if group in (STAGING, DIMS_MARTS):
                     continue
-                full = f"{presentation_database}.{name}"
-                self.relation(name).write.mode("overwrite").format("parquet").saveAsTable(full)
-                written.append(full)
+                staging = stage_table(self.spark, self.relation(name), presentation_database, name)
+                swap_in(self.spark, staging, presentation_database, name)
+                written.append(f"{presentation_database}.{name}")
         return written
 
 

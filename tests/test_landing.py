@@ -124,3 +124,27 @@ def test_register_views_and_inspect(spark):
     assert {r["relation"] for r in prof.collect()} == set(previews)
     with pytest.raises(KeyError):
         quality.inspect(w, group="nope")
+
+
+def test_materialize_duplicate_key_keeps_previous_table(spark):
+    """A customer id with two different segments gives two customer-mart rows
+    with one key: materialize raises and the previous table stays."""
+    from decimal import Decimal as D
+
+    from revmart.sources import schema as S
+    from revmart.sources.raw import Sources
+
+    sale = ("o1", dt.date(2020, 1, 1), "A", "P1", 1, D("1.00"), D("2.00"), D("10.00"),
+            D("-1.00"), D("9.00"), D("1.00"), D("8.00"))
+
+    def wh(customers):
+        return Warehouse(Sources(sales=spark.createDataFrame([sale], S.SALES),
+                                 customers=spark.createDataFrame(customers, S.CUSTOMERS)), spark)
+    db = _db()
+    wh([("A", "SMB", "Peru", None)]).materialize(db, names=["mart_customer_sales"])
+    assert spark.table(f"{db}.mart_customer_sales").count() == 1
+    with pytest.raises(quality.DuplicateKeyError, match="customer_sales_key"):
+        wh([("A", "SMB", "Peru", None), ("A", "RETAIL", "Peru", None)]).materialize(
+            db, names=["mart_customer_sales"])
+    t = spark.table(f"{db}.mart_customer_sales").collect()
+    assert len(t) == 1 and t[0]["customer_segment"] == "SMB"
