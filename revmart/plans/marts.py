@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY, MONEY_TOTAL, PCT, RATE, UNIT_PRICE4, month_abbr, pct, ratio, uuid5, year_month_label,
+    MONEY, MONEY_TOTAL, RATE, UNIT_PRICE4, month_abbr, pct, ratio, uuid5, year_month_label,
 )
 
 INT = T.IntegerType()
