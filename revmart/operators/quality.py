@@ -135,17 +135,12 @@ def inspect(warehouse, group: str | None = None, relation: str | None = None,
     return relation_profile(warehouse, names), {n: preview(warehouse.relation(n), rows) for n in names}
 
 
-# Relations profiled by the registered profile query: the presentation
-# layer and the marts it reads (every relation the dashboard touches).
-PROFILED = (
-    "mart_annual_performance", "mart_monthly_sales", "mart_customer_sales",
-    "mart_product_sales", "mart_product_cashflow",
-    "vw_exec_kpi_scorecard", "vw_exec_monthly_trend", "vw_exec_segment_summary",
-    "vw_customer_performance", "vw_customer_yearly_revenue", "vw_customer_country_summary",
-    "vw_customer_rfm", "vw_product_performance", "vw_product_monthly_trend",
-    "vw_product_segment_matrix", "vw_product_pricing", "vw_revenue_actual_vs_target",
-    "vw_revenue_growth", "vw_revenue_forecast_linear", "vw_revenue_seasonality",
-    "vw_capex_cashflow_schedule", "vw_capex_project_summary", "vw_capex_sensitivity",
-    "vw_employee_dept_summary", "vw_employee_tenure_distribution",
-    "vw_employee_hiring_cohort", "vw_employee_roster",
-)
+# Relations profiled by the registered profile query: every layer, as the
+# reference's inspector lists all of them (staging, dimensions, marts and
+# the six dashboard pages), in that order.
+def _all_relations() -> tuple[str, ...]:
+    from revmart.plans.warehouse import RELATIONS
+    return tuple(RELATIONS)
+
+
+PROFILED = _all_relations()
