@@ -93,3 +93,20 @@ def pg_int(c: Column, source_type: T.DataType) -> Column:
     if isinstance(source_type, T.DecimalType):
         return F.round(c, 0).cast(T.IntegerType())
     return c.cast(T.IntegerType())
+
+
+# Per-row ratios that are averaged are kept as integers in units of 1e-15
+# (exact rounding, half away from zero), summed exactly, and the mean is
+# rounded once at the end.
+RATIO_UNIT_DIGITS = 15
+
+
+def ratio_units(num: Column, den: Column) -> Column:
+    """Per-row ``num / NULLIF(den, 0)`` as an integer count of 1e-15 units."""
+    return round_div_int(num, den, 10 ** RATIO_UNIT_DIGITS)
+
+
+def mean_ratio_pct(sum_units: Column, count: Column) -> Column:
+    """``ROUND(AVG(ratio) * 100, 2)`` from the exact sum of ratio units."""
+    den = count.cast(T.DecimalType(20, 0)) * F.lit(10 ** (RATIO_UNIT_DIGITS - 4)).cast(T.DecimalType(20, 0))
+    return scaled(round_div_int(sum_units, den, 1), 2, PCT)

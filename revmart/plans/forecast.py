@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import MONEY_TOTAL, PCT, month_abbr, ratio
-from revmart.plans.product import mean_ratio_pct, ratio_units
+from revmart.functions import MONEY_TOTAL, PCT, mean_ratio_pct, month_abbr, ratio, ratio_units
 
 INT = T.IntegerType()
 

@@ -7,30 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY_TOTAL, PCT, UNIT_PRICE, UNIT_PRICE4, pct, ratio, round_div_int, scaled,
+    MONEY_TOTAL, UNIT_PRICE, UNIT_PRICE4, mean_ratio_pct, pct, ratio, ratio_units,
 )
 from revmart.plans.marts import customer_multiplicity
 
 LONG = T.LongType()
 INT = T.IntegerType()
 
-# Per-row ratios that are averaged are kept as integers in units of 1e-15
-# (exact rounding, half away from zero), summed exactly, and the mean is
-# rounded once at the end.
-RATIO_UNIT_DIGITS = 15
-
-
-def ratio_units(num: F.Column, den: F.Column) -> F.Column:
-    """Per-row ``num / NULLIF(den, 0)`` as an integer count of 1e-15 units."""
-    return round_div_int(num, den, 10 ** RATIO_UNIT_DIGITS)
-
-
-def mean_ratio_pct(sum_units: F.Column, count: F.Column) -> F.Column:
-    """``ROUND(AVG(ratio) * 100, 2)`` from the exact sum of ratio units."""
-    den = count.cast(T.DecimalType(20, 0)) * F.lit(10 ** (RATIO_UNIT_DIGITS - 4)).cast(T.DecimalType(20, 0))
-    return scaled(round_div_int(sum_units, den, 1), 2, PCT)
-
-
 def vw_product_performance(mart_product: DataFrame) -> DataFrame:
     """Product mart projection, by revenue."""
     return mart_product.select(
