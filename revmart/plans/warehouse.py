@@ -171,7 +171,8 @@ RELATIONS: dict[str, tuple[str, Builder]] = {
     "vw_revenue_growth": (FORECAST, lambda w: forecast.vw_revenue_growth(w["vw_exec_kpi_scorecard"])),
     "vw_revenue_forecast_linear": (FORECAST, lambda w: forecast.vw_revenue_forecast_linear(
         w["mart_annual_performance"])),
-    "vw_revenue_seasonality": (FORECAST, lambda w: forecast.vw_revenue_seasonality(w["stg_sales"])),
+    "vw_revenue_seasonality": (FORECAST, lambda w: forecast.vw_revenue_seasonality(
+        w["mart_monthly_sales"])),
     "vw_capex_cashflow_schedule": (CAPEX, lambda w: capex.vw_capex_cashflow_schedule(
         w["mart_product_cashflow"])),
     "vw_capex_project_summary": (CAPEX, lambda w: capex.vw_capex_project_summary(
