@@ -148,3 +148,16 @@ def test_materialize_duplicate_key_keeps_previous_table(spark):
             db, names=["mart_customer_sales"])
     t = spark.table(f"{db}.mart_customer_sales").collect()
     assert len(t) == 1 and t[0]["customer_segment"] == "SMB"
+
+
+def test_land_json_and_parquet_files(spark):
+    root = tempfile.mkdtemp(prefix="landing-fmt-", dir="/tmp")
+    _write(f"{root}/Targets.jsonl", '{"Revenue Target": 10.5, "Target Date": "2020-01-01"}\n'
+                                    '{"Revenue Target": null, "Target Date": "2021-01-01"}\n')
+    import pandas as pd
+    pd.DataFrame({"Employee ID": [1], "Tenure (Years)": ["a"]}).to_parquet(f"{root}/Staff List.parquet")
+    db = _db()
+    res = {r["table_name"]: r for r in landing.land(spark, root, db)}
+    assert res["targets"]["run_mode"] == landing.INITIAL_LOAD and res["targets"]["row_count"] == 2
+    assert sorted(spark.table(f"{db}.targets").columns) == ["revenue_target", "target_date"]
+    assert spark.table(f"{db}.staff_list").columns == ["employee_id", "tenure_(years)"]
