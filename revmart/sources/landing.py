@@ -38,6 +38,7 @@ log = logging.getLogger("revmart.landing")
 
 AUDIT_TABLE = "ingestion_log"
 AUDIT_SCHEMA = T.StructType([
+    T.StructField("id", T.LongType()),
     T.StructField("file_name", T.StringType()),
     T.StructField("sheet_name", T.StringType()),
     T.StructField("table_name", T.StringType()),
@@ -192,12 +193,16 @@ def load_table(spark: SparkSession, df: DataFrame, database: str, table: str) ->
 
 
 def _audit(spark: SparkSession, database: str, rows: list[tuple]) -> None:
+    """Append audit rows with the next sequential ids (one-row aggregate over
+    the log for the current maximum)."""
     if not rows:
         return
+    log_table = f"{database}.{AUDIT_TABLE}"
+    last = spark.table(log_table).agg(F.max("id")).first()[0] or 0
     df = spark.createDataFrame(
-        [r + (None,) for r in rows], AUDIT_SCHEMA
+        [(last + i + 1,) + r + (None,) for i, r in enumerate(rows)], AUDIT_SCHEMA
     ).withColumn("ingested_at", F.current_timestamp())
-    df.write.mode("append").format("parquet").saveAsTable(f"{database}.{AUDIT_TABLE}")
+    df.write.mode("append").format("parquet").saveAsTable(log_table)
 
 
 def ensure_audit_table(spark: SparkSession, database: str) -> None:

@@ -65,6 +65,7 @@ def test_land_folder(spark):
     modes = sorted((r["table_name"], r["run_mode"]) for r in log if r["table_name"] == "sales_data")
     assert modes == [("sales_data", "full_refresh"), ("sales_data", "initial_load")]
     assert all(r["ingested_at"] is not None for r in log)
+    assert sorted(r["id"] for r in log) == list(range(1, 9))
 
 
 def test_end_to_end_files_to_views(spark):
