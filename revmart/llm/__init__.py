@@ -19,6 +19,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MODULES = (
     "exact_dedup",
+    "byte_bpe",
+    "chat_format",
     "line_dedup",
 )
 

@@ -152,3 +152,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+
+
+# --- Python workers ----------------------------------------------------------
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker (functions travel
+    by value, so their module's globals don't)."""
+    import sys
+    import types
+    return sys.modules.setdefault("_revmart_worker", types.ModuleType("_revmart_worker")).__dict__
