@@ -21,6 +21,7 @@ MODULES = (
     "exact_dedup",
     "byte_bpe",
     "chat_format",
+    "decontaminate",
     "line_dedup",
 )
 
