@@ -23,6 +23,7 @@ MODULES = (
     "chat_format",
     "decontaminate",
     "line_dedup",
+    "near_dedup",
     "html_extract",
 )
 
