@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import crc_bucket, scratch_path, table, text_of
 
 QUERY_NAME = "op8_lm_score"
-ORDER = 4
+ORDER = 5
 PAD, END = 0xFE, 0xFF   # bytes that UTF-8 never uses
 SYMBOLS = 255           # every byte but PAD
 BLOCK_BYTES = 24_000_000
