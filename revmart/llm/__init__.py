@@ -23,6 +23,7 @@ MODULES = (
     "chat_format",
     "decontaminate",
     "line_dedup",
+    "token_files",
     "lm_score",
     "near_dedup",
     "html_extract",
