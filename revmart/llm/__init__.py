@@ -24,6 +24,7 @@ MODULES = (
     "decontaminate",
     "line_dedup",
     "token_files",
+    "toxicity",
     "lm_score",
     "near_dedup",
     "html_extract",

@@ -31,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import build_filter, checkpointed, connected_components, maybe_in, table, text_of
@@ -232,22 +232,43 @@ class _Corpus:
         return found.withColumnRenamed("node", "digest").withColumnRenamed("component", "class")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    similarity: float = SIMILARITY, log2_words: int = LOG2_WORDS) -> DataFrame:
-    """One row per input row: ``doc_id, class_id`` (smallest id of its class),
-    ``class_size`` and ``kept`` (true for one row of each class)."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, log2_words: int):
+    """The rows (id, text_hash, n, digest, class) of a table, equal ones
+    counted, and the sums of each class."""
     base = docs.select(docs[id_col].alias("id"), text_of(docs[text_col]).alias("text"))
     corpus = _Corpus(base, log2_words)
     classes = checkpointed(corpus.classes(similarity))
-    counted = corpus.signed.groupBy("digest", "id").agg(F.count("*").alias("n"))
-    counted = counted.join(classes, "digest", "left").select("id", "n", F.coalesce("class", "digest").alias("class"), "digest")
+    counted = corpus.signed.groupBy("digest", "id", "text_hash").agg(F.count("*").alias("n"))
+    counted = counted.join(classes, "digest", "left").select("id", "text_hash", "n", F.coalesce("class", "digest").alias("class"))
     sums = counted.groupBy("class").agg(F.min("id").alias("class_id"), F.sum("n").alias("class_size"),
-                                        F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first"))
-    first = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.digest") == F.col("digest")) & (F.col("copy") == 1)
+                                        F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"))
+    return counted, sums
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    similarity: float = SIMILARITY, log2_words: int = LOG2_WORDS) -> DataFrame:
+    """One row per input row: ``doc_id, class_id`` (smallest id of its class),
+    ``class_size`` and ``kept`` (true for one row of each class)."""
+    counted, sums = _classes(docs, id_col, text_col, similarity, log2_words)
+    first = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.text_hash") == F.col("text_hash")) & (F.col("copy") == 1)
     return counted.join(sums, "class").select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy")) \
         .select(F.col("id").alias("doc_id"), "class_id", "class_size", first.alias("kept"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             similarity: float = SIMILARITY, log2_words: int = LOG2_WORDS) -> DataFrame:
+    """The rows of ``docs``, all columns as they were, one of each class: the
+    one with the smallest id."""
+    _, sums = _classes(docs, id_col, text_col, similarity, log2_words)
+    key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    chosen = sums.select(key(F.col("first.id")).alias("__chosen_id"), F.col("first.text_hash").alias("__chosen_hash"))
+    marked = docs.withColumns({"__row_id": key(docs[id_col]), "__row_hash": F.xxhash64(text_of(docs[text_col]))})
+    kept = marked.join(chosen, (F.col("__row_id") == F.col("__chosen_id")) & (F.col("__row_hash") == F.col("__chosen_hash")))
+    # A row that stands in the table several times is kept once.
+    copy = F.row_number().over(Window.partitionBy("__row_id", "__row_hash").orderBy("__row_hash"))
+    return kept.withColumn("__copy", copy).where("__copy = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
