@@ -29,7 +29,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table, text_of, worker_cache
+from .common import table, text_of, vectorised, worker_cache
 
 QUERY_NAME = "op3_byte_bpe"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -49,7 +49,7 @@ def load_encoding(rank_file: str) -> tiktoken.Encoding:
 
 
 def encoder(rank_file: str):
-    @F.pandas_udf("binary")
+    @vectorised("binary")
     def encode(texts: pd.Series) -> pd.Series:
         enc = load_encoding(rank_file)
         return pd.Series([enc.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in texts], dtype=object)
@@ -58,7 +58,7 @@ def encoder(rank_file: str):
 
 def decoder(rank_file: str):
     """Raw bytes of little-endian unsigned 32-bit ids."""
-    @F.pandas_udf("binary")
+    @vectorised("binary")
     def decode(ids: pd.Series) -> pd.Series:
         cache = worker_cache()
         if ("bytes", rank_file) not in cache:
@@ -86,7 +86,7 @@ def boundaries(text: str, lo: int, hi: int) -> list[int]:
 def chunker(chunk: int, overlap: int):
     """Overlapping chunks of a text, each with the boundaries it found in the
     overlap at its head and at its tail (both counted from the later chunk)."""
-    @F.pandas_udf("array<struct<chunk:int,last:boolean,text:string,head:array<int>,tail:array<int>>>")
+    @vectorised("array<struct<chunk:int,last:boolean,text:string,head:array<int>,tail:array<int>>>")
     def cut(texts: pd.Series) -> pd.Series:
         def parts(text):
             out = []
@@ -101,7 +101,7 @@ def chunker(chunk: int, overlap: int):
     return cut
 
 
-@F.pandas_udf("binary")
+@vectorised("binary")
 def _joined(parts: pd.Series) -> pd.Series:
     return pd.Series([b"".join(p["ids"] for p in x) for x in parts], dtype=object)
 

@@ -156,6 +156,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 # --- Python workers ----------------------------------------------------------
 
+def vectorised(return_type: str):
+    """Pandas UDF of a function, made when it is first applied: modules can be
+    imported before there is a session."""
+    def wrap(f):
+        def on_columns(*columns):
+            return F.pandas_udf(f, return_type)(*columns)
+        return on_columns
+    return wrap
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker (functions travel
     by value, so their module's globals don't)."""

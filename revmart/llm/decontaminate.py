@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_of
+from .common import table, text_of, vectorised
 
 QUERY_NAME = "op5_decontaminate"
 WINDOW, STRIDE = 128, 64
@@ -193,7 +193,7 @@ def candidate_windows(index: ItemIndex, terms: list[np.ndarray], threshold: floa
 
 def matcher(index: ItemIndex, threshold: float, question_share: float, answer_share: float):
     """Column function: text -> array of verified matches, one per item."""
-    @F.pandas_udf(MATCH)
+    @vectorised(MATCH)
     def match(texts: pd.Series) -> pd.Series:
         out: list[dict] = [{} for _ in range(len(texts))]
         values = texts.to_list()

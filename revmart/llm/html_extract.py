@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, table, text_of
+from .common import checkpointed, table, text_of, vectorised
 
 QUERY_NAME = "op10_html_extract"
 # Elements by their part in a page.
@@ -267,7 +267,7 @@ def slot_labels(nodes: list) -> list[str]:
     return out
 
 
-@F.pandas_udf(f"struct<tree:string,nodes:array<{NODE}>>")
+@vectorised(f"struct<tree:string,nodes:array<{NODE}>>")
 def _read(pages: pd.Series) -> pd.DataFrame:
     trees, nodes = [], []
     for page in pages:
@@ -283,7 +283,7 @@ def _read(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"tree": trees, "nodes": nodes})
 
 
-@F.pandas_udf("array<struct<slot:int,partner:int,label:string>>")
+@vectorised("array<struct<slot:int,partner:int,label:string>>")
 def _align(tree: pd.Series, wrapper: pd.Series) -> pd.Series:
     out = []
     for t, w in zip(tree, wrapper):
@@ -293,7 +293,7 @@ def _align(tree: pd.Series, wrapper: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf("string")
+@vectorised("string")
 def _write(pages: pd.Series, content: pd.Series) -> pd.Series:
     out = []
     for page, slots in zip(pages, content):

@@ -23,8 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (SPACE_CHARS, ascii_lower, checkpointed, filter_mask,
-                     filter_word, maybe_in, table, text_of)
+from .common import SPACE_CHARS, ascii_lower, checkpointed, filter_mask, filter_word, maybe_in, table, text_of, vectorised
 
 QUERY_NAME = "op6_line_dedup"
 MIN_CHARS = 10
@@ -87,7 +86,7 @@ def seen_twice(lines: DataFrame, log2_words: int) -> DataFrame:
     return parts.repartition(max(1, n_words // SEGMENT_WORDS), "segment").mapInPandas(_merge_filters, "word long, bits long")
 
 
-@F.pandas_udf("string")
+@vectorised("string")
 def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     def cut(t, g):
         if g is None:

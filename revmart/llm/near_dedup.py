@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import build_filter, checkpointed, connected_components, maybe_in, table, text_of
+from .common import build_filter, checkpointed, connected_components, maybe_in, table, text_of, vectorised
 
 QUERY_NAME = "op7_near_dedup"
 SHINGLE, SIMILARITY = 5, 0.8
@@ -135,7 +135,7 @@ def _groups(texts: list[str]):
         lo = hi
 
 
-@F.pandas_udf("struct<digest:binary,signature:array<int>>")
+@vectorised("struct<digest:binary,signature:array<int>>")
 def _sign(texts: pd.Series) -> pd.DataFrame:
     values, digests, signatures = texts.to_list(), [], []
     for lo, hi in _groups(values):
@@ -147,7 +147,7 @@ def _sign(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"digest": digests, "signature": signatures})
 
 
-@F.pandas_udf("struct<shingles:array<long>,weights:array<int>>")
+@vectorised("struct<shingles:array<long>,weights:array<int>>")
 def _shingle(texts: pd.Series) -> pd.DataFrame:
     values, out, weights = texts.to_list(), [], []
     for lo, hi in _groups(values):
@@ -160,7 +160,7 @@ def _shingle(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"shingles": out, "weights": weights})
 
 
-@F.pandas_udf("double")
+@vectorised("double")
 def _similarity(a: pd.Series, wa: pd.Series, b: pd.Series, wb: pd.Series) -> pd.Series:
     return pd.Series([probability_jaccard(np.asarray(p, "int64").view("uint64"), u, np.asarray(q, "int64").view("uint64"), v)
                       for p, u, q, v in zip(a, wa, b, wb)], dtype="float64")

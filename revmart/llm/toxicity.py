@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, crc_bucket, table, text_of
+from .common import checkpointed, crc_bucket, table, text_of, vectorised
 
 QUERY_NAME = "op1_toxicity"
 FOLDS, HELD_OUT = 4, 2
@@ -41,7 +41,8 @@ THRESHOLD = 0.3
 LABELLED_ROWS = 20_000    # labelled rows that lexicons are mined from
 FIT_ROWS = 40_000         # rows the classifier is fitted on
 LEXICON = 1024            # entries
-MIN_ROWS, MIN_PRECISION = 3, 0.85
+MIN_PRECISION = 0.85
+MIN_EVIDENCE = 3.6        # -log10 of the chance that clean rows alone would look so
 PREFIX = (3, 4, 5, 6, 7, 8)  # lengths of word beginnings
 HEAD = 3
 WORD_FOLDS, PREFIX_FOLDS = 4, 4
@@ -225,17 +226,21 @@ class Model:
 def facts_column(model: Model):
     read = model.reader()
 
-    @F.pandas_udf(FACTS)
+    @vectorised(FACTS)
     def facts(texts: pd.Series) -> pd.DataFrame:
         return read(texts)
     return facts
 
 
 def mine_lexicon(labelled: DataFrame) -> list[str]:
-    """At most LEXICON entries from (text, toxic) rows."""
+    """At most LEXICON entries from (text, toxic) rows: precise ones that toxic
+    rows hold more often than chance would have it."""
+    share = labelled.agg(F.avg("toxic").alias("p")).first()["p"]
+    if not share or share >= 1:
+        return []
     counts = labelled.select("text", "toxic").mapInPandas(mine, "entry string, toxic long, clean long") \
         .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    sure = (F.col("toxic") >= MIN_ROWS) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean")))
+    sure = (F.col("toxic") * -math.log10(share) >= MIN_EVIDENCE) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean")))
     best = counts.where(sure).orderBy(F.col("toxic").desc(), F.col("clean"), "entry").limit(LEXICON)
     return sorted(r["entry"] for r in best.collect())
 
@@ -255,7 +260,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     facts = checkpointed(base.select("doc_id", "held_out", facts_column(model)("text").alias("f")).select("doc_id", "held_out", "f.*"))
     vote = model.voter()
 
-    @F.pandas_udf("int")
+    @vectorised("int")
     def votes(hits: pd.Series, words: pd.Series, shout: pd.Series, marks: pd.Series) -> pd.Series:
         return vote({"hits": hits, "words": words, "shout": shout, "marks": marks})
     training = facts.where(~F.col("held_out")).withColumn("votes", votes("hits", "words", "shout", "marks"))
@@ -273,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def scores(model: Model, facts: DataFrame) -> DataFrame:
     score = model.scorer()
 
-    @F.pandas_udf("double")
+    @vectorised("double")
     def of_facts(hits: pd.Series, words: pd.Series, shout: pd.Series, marks: pd.Series) -> pd.Series:
         return score(pd.DataFrame({"hits": hits, "words": words, "shout": shout, "marks": marks}))
     return facts.select("doc_id", "held_out", of_facts("hits", "words", "shout", "marks").alias("score"))
@@ -283,7 +288,7 @@ def score_column(model: Model, text):
     """Score of a text column, in place."""
     read, score = model.reader(), model.scorer()
 
-    @F.pandas_udf("double")
+    @vectorised("double")
     def of_text(texts: pd.Series) -> pd.Series:
         return score(read(texts))
     return of_text(text_of(text))
