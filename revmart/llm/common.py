@@ -114,44 +114,33 @@ def maybe_in(df: DataFrame, h: Column, words: DataFrame, log2_words: int, name:
 
 # --- connected components ----------------------------------------------------
 
+BROADCAST_NODES = 250_000  # labels of so many nodes are sent to all executors: at most some 20 MB
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (a, b);
     the component is its smallest node.
 
-    Alternating large-star and small-star steps (each links a node's
-    neighbours to the smallest one it sees) until nothing changes. Every round
-    is two grouped minima and joins on the node, written to the shared folder;
-    nothing is collected but the fingerprint of the links that ends the loop.
+    Every round a node takes the smallest label among its neighbours' and its
+    own, and then the label of its label, so long chains halve. The rounds are
+    joins written to the shared folder; labels are broadcast where they are
+    counted to be few and shuffled otherwise. Only counts come to the driver.
     """
-    def fingerprint(df):
-        r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        return r["n"], r["s"]
-
-    def star(links, large):
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else \
-            links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        j = both.join(low, F.col("a") == F.col("n"))
-        if large:
-            out = j.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = j.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("n").alias("a"), F.col("m").alias("b")))
-        return out.where(F.col("a") != F.col("b")).distinct()
-
-    links = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    seen = fingerprint(links)
+    ends = edges.where("a <> b")
+    ends = ends.select("a", "b").union(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = checkpointed(ends.union(ends.select("a", F.col("a").alias("b"))).distinct())
+    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
+    sent = F.broadcast if labels.count() <= BROADCAST_NODES else lambda df: df
     for _ in range(max_rounds):
-        if not seen[0]:
-            break
-        links = checkpointed(star(star(links, True), False))
-        now = fingerprint(links)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        links.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+        old = labels.select(F.col("node").alias("b"), "component")
+        near = checkpointed(both.join(sent(old), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low")))
+        ahead = near.select(F.col("node").alias("low"), F.col("low").alias("component"))
+        before = labels.select("node", F.col("component").alias("old"))
+        new = checkpointed(near.join(sent(ahead), "low").join(sent(before), "node").select("node", "old", "component"))
+        labels = new.select("node", "component")
+        if new.where("old <> component").isEmpty():
+            return labels
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 # --- Python workers ----------------------------------------------------------

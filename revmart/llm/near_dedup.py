@@ -9,11 +9,12 @@ texts share one digest and go on as one; signatures are cut into bands, and
 documents that share a band are candidates.
 
 Candidates are linked without listing all pairs of a band: first every member
-with the band's smallest digest, verified on the full shingle weights; then
-connected components; then only members of one band that are still in
-different components, if their signatures do not rule the threshold out. So
-every pair that shares a band is either in one class already or was compared,
-and a group of many near copies costs one comparison a member and band.
+with CENTERS members of its band, verified on the full shingle weights (pairs
+whose signatures hardly agree are left for later); then connected components;
+then members of one band that are still in different components are compared
+in blocks, where an inverted index of their shingles gives all similarities of
+two blocks at once and only links come out. So every pair that shares a band
+is either in one class already or was compared.
 
 ``similarity`` is the exact probability Jaccard similarity (the plain Jaccard
 similarity where no shingle repeats). Words are what white space separates, in
@@ -40,7 +41,9 @@ QUERY_NAME = "op7_near_dedup"
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 6
 PLACES = BANDS * ROWS
-RULED_OUT = 0.5    # agreement below this excludes 0.8: eight standard deviations
+CENTERS = 3
+LIKELY = 0.62        # signature agreement from which a center is tried
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LOG2_WORDS = 18
 CHUNK_CHARS = 3_000_000
 U = np.uint64
@@ -135,16 +138,21 @@ def _groups(texts: list[str]):
         lo = hi
 
 
-@vectorised("struct<digest:binary,signature:array<int>>")
+@vectorised("struct<digest:binary,bands:array<long>,places:array<tinyint>>")
 def _sign(texts: pd.Series) -> pd.DataFrame:
-    values, digests, signatures = texts.to_list(), [], []
+    values, digests, bands, places = texts.to_list(), [], [], []
     for lo, hi in _groups(values):
         words = [t.lower().split() for t in values[lo:hi]]
         digests += [xxhash.xxh3_128_digest(" ".join(w)) for w in words]
-        places = prob_min_hash(*weighted_shingles(words), len(words))
-        short = (places >> U(32)).astype("uint32").view("int32")
-        signatures += [row if w else row[:0] for row, w in zip(short, words)]
-    return pd.DataFrame({"digest": digests, "signature": signatures})
+        owner = prob_min_hash(*weighted_shingles(words), len(words))
+        key = np.zeros((len(words), BANDS), "uint64")
+        with np.errstate(over="ignore"):
+            for k in range(ROWS):
+                key = mix(key * U(0x9E3779B97F4A7C15) + owner[:, k::ROWS] + np.arange(1, BANDS + 1, dtype="uint64"))
+        key, short = key.view("int64"), (owner >> U(56)).astype("uint8").view("int8")
+        bands += [row if w else row[:0] for row, w in zip(key, words)]
+        places += [row if w else row[:0] for row, w in zip(short, words)]
+    return pd.DataFrame({"digest": digests, "bands": bands, "places": places})
 
 
 @vectorised("struct<shingles:array<long>,weights:array<int>>")
@@ -166,7 +174,45 @@ def _similarity(a: pd.Series, wa: pd.Series, b: pd.Series, wb: pd.Series) -> pd.
                       for p, u, q, v in zip(a, wa, b, wb)], dtype="float64")
 
 
+def _compare(similarity: float):
+    """Links between the members of one group that are in different classes;
+    of links that join the same classes again, none."""
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("digest").reset_index(drop=True)
+        digests, sets = pdf["digest"].tolist(), [np.asarray(x, "int64") for x in pdf["shingles"]]
+        weights = [None if w is None else np.asarray(w) for w in pdf["weights"]]
+        label = pd.factorize(pdf["c"])[0]
+        size = np.array([len(x) for x in sets])
+        codes, _ = pd.factorize(np.concatenate(sets))
+        owner = np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(codes, kind="stable")
+        postings, starts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(codes))])
+        own = np.concatenate([[0], np.cumsum(size)])
+        links = []
+        plain = np.array([w is None for w in weights])
+        # Members of the largest class need no turn of their own.
+        for x in np.flatnonzero(label != np.bincount(label).argmax()):
+            mine = codes[own[x]:own[x + 1]]
+            common = np.bincount(np.concatenate([postings[starts[k]:starts[k + 1]] for k in mine]), minlength=len(sets))
+            alike = common / (size[x] + size - common)
+            maybe = (label != label[x]) & (common > 0) & ((alike >= similarity) | ~plain | (not plain[x]))
+            for y in np.flatnonzero(maybe):
+                if label[y] == label[x]:
+                    continue
+                if plain[x] and plain[y]:
+                    near = alike[y]
+                else:
+                    near = probability_jaccard(sets[x].view("uint64"), weights[x], sets[y].view("uint64"), weights[y])
+                if near >= similarity:
+                    links.append((min(digests[x], digests[y]), max(digests[x], digests[y])))
+                    label[label == label[y]] = label[x]
+        return pd.DataFrame(links, columns=["a", "b"])
+    return compare
+
+
 def _agreement(a, b):
+    """Share of equal places; of each place one byte is kept, so unlike places
+    seem equal once in 256."""
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda e: e)) / F.lit(float(PLACES))
 
 
@@ -176,59 +222,72 @@ class _Corpus:
     def __init__(self, docs: DataFrame, log2_words: int):
         self.base = docs.withColumn("text_hash", F.xxhash64("text"))
         signed = self.base.select("id", "text_hash", _sign("text").alias("s"))
-        self.signed = checkpointed(signed.select("id", "text_hash", "s.digest", "s.signature"))
+        self.signed = checkpointed(signed.select("id", "text_hash", "s.digest", "s.bands", "s.places"))
         one = F.min(F.struct("text_hash", "id")).alias("one")
-        self.texts = self.signed.groupBy("digest").agg(one, F.first("signature").alias("signature"))
+        self.texts = self.signed.groupBy("digest").agg(one, F.first("bands").alias("bands"), F.first("places").alias("places"))
         self.log2_words = log2_words
 
-    def verified(self, pairs: DataFrame, similarity: float) -> DataFrame:
-        """The pairs (a, b) of digests that are at least so similar."""
-        pairs = checkpointed(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct() \
-            .join(self.texts.select("digest", "one"), "digest").select("digest", "one.*")
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) whose signatures agree enough to try them first."""
+        of = self.texts.select("digest", "places")
+        x = of.select(F.col("digest").alias("a"), F.col("places").alias("pa"))
+        y = of.select(F.col("digest").alias("b"), F.col("places").alias("pb"))
+        return pairs.join(y, "b").join(x, "a").where(_agreement("pa", "pb") >= LIKELY).select("a", "b")
+
+    def sets(self, members: DataFrame) -> DataFrame:
+        """(digest, shingles, weights) of the given digests, from their texts:
+        a bit filter keeps all other texts from being shuffled."""
+        wanted = checkpointed(members.join(self.texts.select("digest", "one"), "digest").select("digest", "one.*"))
         words = build_filter(wanted, "text_hash", self.log2_words)
         rows = maybe_in(self.base, F.col("text_hash"), words, self.log2_words, "wanted").where("wanted")
         same = wanted["text_hash"].eqNullSafe(rows["text_hash"]) & wanted["id"].eqNullSafe(rows["id"])
         texts = rows.join(wanted, same).select("digest", "text").dropDuplicates(["digest"])
-        sets = checkpointed(texts.select("digest", _shingle("text").alias("s")).select("digest", "s.*"))
-        left = sets.select(F.col("digest").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
-        right = sets.select(F.col("digest").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
-        scored = pairs.join(right, "b").join(left, "a").select("a", "b", _similarity("sa", "wa", "sb", "wb").alias("similarity"))
-        return scored.where(F.col("similarity") >= similarity)
+        return checkpointed(texts.select("digest", _shingle("text").alias("s")).select("digest", "s.*"))
+
+    @staticmethod
+    def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+        """The pairs that are at least so similar."""
+        left = sets.select(F.col("digest").alias("l"), F.col("shingles").alias("sl"), F.col("weights").alias("wl"))
+        right = sets.select(F.col("digest").alias("r"), F.col("shingles").alias("sr"), F.col("weights").alias("wr"))
+        both = pairs.select(F.col("a").alias("l"), F.col("b").alias("r")).join(right, "r").join(left, "l")
+        scored = both.select(F.col("l").alias("a"), F.col("r").alias("b"), _similarity("sl", "wl", "sr", "wr").alias("similarity"))
+        return checkpointed(scored.where(F.col("similarity") >= similarity).select("a", "b"))
 
     def classes(self, similarity: float) -> DataFrame:
         """(digest, class) of every text that is linked to another one."""
-        rows = self.texts.where(F.size("signature") > 0).select(
-            "digest", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
-                                               lambda k: F.xxhash64(k, F.slice("signature", k * ROWS + 1, ROWS)))).alias("k", "band"))
-        rows = rows.select("digest", F.xxhash64("k", "band").alias("band"))
-        bands = rows.groupBy("band").agg(F.min("digest").alias("center"), F.max("digest").alias("last")).where("center <> last")
-        members = checkpointed(rows.join(bands.select("band", "center"), "band"))
-        signatures = self.texts.select("digest", "signature")
-
-        def signed(pairs):
-            s = signatures
-            return pairs.join(s.withColumnRenamed("digest", "b").withColumnRenamed("signature", "gb"), "b") \
-                .join(s.withColumnRenamed("digest", "a").withColumnRenamed("signature", "ga"), "a") \
-                .where(_agreement("ga", "gb") >= RULED_OUT).select("a", "b")
-        stars = members.where("digest <> center").select(F.col("center").alias("a"), F.col("digest").alias("b")).distinct()
-        stars = checkpointed(stars)
-        links = checkpointed(self.verified(signed(stars), similarity).select("a", "b"))
+        rows = self.texts.select("digest", F.explode("bands").alias("band"))
+        picks = F.array(*[F.min_by("digest", F.xxhash64("digest", F.lit(k))) for k in range(CENTERS)])
+        bands = rows.groupBy("band").agg(F.count("*").alias("n"), F.array_distinct(picks).alias("centers")).where("n > 1")
+        members = checkpointed(rows.join(bands.select("band", "centers"), "band"))
+        stars = members.select("digest", F.explode("centers").alias("center")).where("digest <> center") \
+            .select(F.least("digest", "center").alias("a"), F.greatest("digest", "center").alias("b")).distinct()
+        stars = checkpointed(self.likely(stars))
+        ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
+        sets = self.sets(ends(stars))
+        links = self.verified(stars, sets, similarity)
         found = connected_components(links)
-        # What one band still holds in different classes is compared pair by pair.
-        placed = members.join(found.withColumnRenamed("node", "digest"), "digest", "left") \
+        # What one band still holds in different classes is compared in blocks.
+        placed = members.select("band", "digest").join(found.withColumnRenamed("node", "digest"), "digest", "left") \
             .select("band", "digest", F.coalesce("component", "digest").alias("c"))
         split = placed.groupBy("band").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("band")
-        open_ = checkpointed(placed.join(split, "band").join(signatures, "digest"))
-        left = open_.select("band", F.col("digest").alias("a"), F.col("c").alias("ca"), F.col("signature").alias("ga"))
-        right = open_.select("band", F.col("digest").alias("b"), F.col("c").alias("cb"), F.col("signature").alias("gb"))
-        rest = left.join(right, (left["band"] == right["band"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                         & (_agreement("ga", "gb") >= RULED_OUT)).select("a", "b").distinct()
-        rest = rest.join(stars, ["a", "b"], "left_anti")
-        more = checkpointed(self.verified(rest, similarity).select("a", "b"))
-        if more.isEmpty():
-            return found.withColumnRenamed("node", "digest").withColumnRenamed("component", "class")
-        found = connected_components(links.union(more))
+        open_ = checkpointed(placed.join(split, "band"))
+        new = open_.select("digest").distinct().join(sets.select("digest"), "digest", "left_anti")
+        sets = sets.union(self.sets(new))
+        sized = open_.join(sets.select("digest", F.size("shingles").alias("n")), "digest").groupBy("band") \
+            .agg(F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        spread = open_.join(sized, "band").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        spread = spread.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "digest", "c").join(sets, "digest")
+        more = checkpointed(spread.groupBy("band", "i", "j").applyInPandas(_compare(similarity), "a binary, b binary").distinct())
+        if not more.isEmpty():
+            # Components of components: the links join what was found before.
+            lift = lambda c: F.coalesce(F.col(f"at_{c}.component"), F.col(c)).alias(c)
+            upper = more.join(found.alias("at_a"), F.col("a") == F.col("at_a.node"), "left") \
+                .join(found.alias("at_b"), F.col("b") == F.col("at_b.node"), "left").select(lift("a"), lift("b"))
+            joined = connected_components(upper).select(F.col("node").alias("component"), F.col("component").alias("top"))
+            nodes = found.union(ends(more).select(F.col("digest").alias("node"), F.col("digest").alias("component"))
+                                .join(found.select("node"), "node", "left_anti"))
+            found = nodes.join(joined, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
         return found.withColumnRenamed("node", "digest").withColumnRenamed("component", "class")
 
 
