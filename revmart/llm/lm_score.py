@@ -32,6 +32,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +43,15 @@ QUERY_NAME = "op8_lm_score"
 ORDER = 5
 PAD, END = 0xFE, 0xFF   # bytes that UTF-8 never uses
 SYMBOLS = 255           # every byte but PAD
-BLOCK_BYTES = 24_000_000
-CHUNK_BYTES = 3_000_000
+BLOCK_BYTES = 16_000_000
+CHUNK_BYTES = 2_000_000
 END_WORD = b"\n"        # never a word
 FOLDS, HELD_OUT = 7, 2
 GRAM, WORD = 0, 1
 
 
 def _chunks(texts):
-    """Lists of positions of about CHUNK_BYTES together."""
+    """Lists of neighbouring positions of about CHUNK_BYTES together."""
     part, size = [], 0
     for k, t in enumerate(texts):
         part.append(k)
@@ -84,35 +85,69 @@ def words_of(bodies: list[bytes]):
     return hashes, codes, np.repeat(np.arange(len(lists)), [len(x) for x in lists])
 
 
+def _runs(block: np.ndarray):
+    """(block, begin, end) of each run of equal values."""
+    cuts = np.flatnonzero(np.diff(block)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)]):
+        if hi > lo:
+            yield int(block[lo]), lo, hi
+
+
+def _pieces(texts: pa.Array):
+    """(begin, lower-cased bodies) of about CHUNK_BYTES each; a batch is never
+    turned into Python objects as a whole."""
+    step = max(1, len(texts) * CHUNK_BYTES // max(1, texts.nbytes))
+    for lo in range(0, len(texts), step):
+        part = texts.slice(lo, step).to_pylist()
+        inner = 0
+        for k in _chunks(part):
+            yield lo + inner, [part[j].encode().lower() for j in k]
+            inner += len(k)
+
+
 def _gather(batches):
     """Per block: its distinct grams and words with their training counts."""
-    block, parts = None, []
+    block, keys, counts, kinds = None, [], [], []
 
-    def flush():
-        if parts:
-            got = pd.concat(parts).groupby(["kind", "key"], sort=False, as_index=False)["n"].sum()
-            got.insert(0, "block", block)
-            yield got.astype({"block": "int32", "kind": "int32"})
+    def merged():
+        nonlocal keys, counts, kinds
+        done = []
+        for kind in (GRAM, WORD):
+            of = [k for k, x in enumerate(kinds) if x == kind]
+            codes, uniques = pd.factorize(np.concatenate([keys[k] for k in of]))
+            done.append((kind, uniques, np.bincount(codes, np.concatenate([counts[k] for k in of]), len(uniques)).astype("int64")))
+        keys, counts, kinds = [d[1] for d in done], [d[2] for d in done], [d[0] for d in done]
 
-    for pdf in batches:
-        for b, rows in pdf.groupby("block", sort=False):
+    def flush():
+        if not keys:
+            return
+        merged()
+        for kind, key, n in zip(kinds, keys, counts):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), block, "int32")), pa.array(np.full(len(key), kind, "int32")), pa.array(key), pa.array(n)],
+                                             names=["block", "kind", "key", "n"])
+
+    for batch in batches:
+        held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+        for b, lo, hi in _runs(batch.column("block").to_numpy()):
             if b != block:
                 yield from flush()
-                block, parts = b, []
-            bodies = [t.encode().lower() for t in rows["text"]]
-            train = ~rows["held_out"].to_numpy(bool)
-            for part in _chunks(bodies):
-                some, learn = [bodies[k] for k in part], train[part]
-                gram, doc = grams_of(some)
-                codes, keys = pd.factorize(gram)
-                parts.append(pd.DataFrame({"kind": GRAM, "key": keys, "n": np.bincount(codes[learn[doc]], minlength=len(keys))}))
-                hashes, codes, doc = words_of(some)
-                parts.append(pd.DataFrame({"kind": WORD, "key": hashes, "n": np.bincount(codes[learn[doc]], minlength=len(hashes))}))
-            if len(parts) > 40:
-                parts = [pd.concat(parts).groupby(["kind", "key"], sort=False, as_index=False)["n"].sum()]
+                block, keys, counts, kinds = b, [], [], []
+            for at, bodies in _pieces(batch.column("text").slice(lo, hi - lo)):
+                learn = ~held[lo + at:lo + at + len(bodies)]
+                for kind, (key, codes, doc) in ((GRAM, _distinct(*grams_of(bodies))), (WORD, words_of(bodies))):
+                    kinds.append(kind)
+                    keys.append(key)
+                    counts.append(np.bincount(codes[learn[doc]], minlength=len(key)))
+                if len(keys) > 12:
+                    merged()
     yield from flush()
 
 
+def _distinct(gram: np.ndarray, doc: np.ndarray):
+    codes, keys = pd.factorize(gram)
+    return keys, codes, doc
+
+
 def estimator(order1: np.ndarray):
     """log10 probability of each gram of one group: all grams that share the
     last two context bytes. ``order1[c, s]``: count of symbol s after byte c."""
@@ -164,7 +199,7 @@ def estimator(order1: np.ndarray):
         q = np.full(len(gram), float((order0 > 0).sum() - (row > 0).sum()))
         level(order0[symbol], t, q)
         score[~done] -= math.log10(max(1, SYMBOLS - int((order0 > 0).sum())))
-        return pd.DataFrame({"kind": np.full(len(gram), GRAM, "int32"), "key": gram, "value": score})
+        return pd.DataFrame({"key": gram, "value": score})
     return estimate
 
 
@@ -173,37 +208,40 @@ def _score(batches):
     block, values, tables = None, [], None
 
     def look_up():
-        got = pd.concat(values) if values else pd.DataFrame({"kind": [], "key": [], "value": []})
         out = []
         for kind in (GRAM, WORD):
-            one = got[got["kind"] == kind]
-            out.append((pd.Index(one["key"].to_numpy("int64")), one["value"].to_numpy("float64")))
+            key = np.concatenate([np.zeros(0, "int64"), *[k[kinds == kind] for kinds, k, _ in values]])
+            value = np.concatenate([np.zeros(0), *[v[kinds == kind] for kinds, _, v in values]])
+            out.append((pd.Index(key), value))
         return out
 
-    for pdf in batches:
-        for b, rows in pdf.groupby("block", sort=False):
+    for batch in batches:
+        rank = batch.column("rank").to_numpy()
+        for b, lo, hi in _runs(batch.column("block").to_numpy()):
             if b != block:
                 block, values, tables = b, [], None
-            own = rows["rank"].to_numpy() == 0
-            if own.any():
-                values.append(rows.loc[own, ["kind", "key", "value"]])
-            docs = rows[~own]
-            if not len(docs):
+            first = lo + int(np.searchsorted(rank[lo:hi], 1))
+            if first > lo:
+                values.append([batch.column(c).slice(lo, first - lo).to_numpy().copy() for c in ("kind", "key", "value")])
+            if first == hi:
                 continue
             if tables is None:
                 tables, values = look_up(), []
             (grams, log_p), (words, counts) = tables
-            bodies = [t.encode().lower() for t in docs["text"]]
-            for part in _chunks(bodies):
-                some = [bodies[k] for k in part]
-                gram, doc = grams_of(some)
-                score = np.bincount(doc, log_p[grams.get_indexer(gram)], len(some))
-                hashes, codes, doc = words_of(some)
+            ids, held = batch.column("in_id"), batch.column("held_out")
+            for at, bodies in _pieces(batch.column("text").slice(first, hi - first)):
+                n = len(bodies)
+                gram, doc = grams_of(bodies)
+                found = grams.get_indexer(gram)
+                if (found < 0).any():
+                    raise RuntimeError("a document is not in the block it was counted in")
+                score = np.bincount(doc, log_p[found], n)
+                hashes, codes, doc = words_of(bodies)
                 c = counts[words.get_indexer(hashes)][codes]
-                yield pd.DataFrame({
-                    "in_id": docs["in_id"].iloc[part].to_numpy(), "held_out": docs["held_out"].iloc[part].to_numpy(),
-                    "n_tokens": np.bincount(doc, minlength=len(some)), "n_known": np.bincount(doc, c > 0, len(some)).astype("int64"),
-                    "log_counts": np.bincount(doc, np.log10(c + 1), len(some)), "score": score})
+                yield pa.RecordBatch.from_arrays([
+                    ids.slice(first + at, n), held.slice(first + at, n), pa.array(np.bincount(doc, minlength=n)),
+                    pa.array(np.bincount(doc, c > 0, n).astype("int64")), pa.array(np.bincount(doc, np.log10(c + 1), n)), pa.array(score)],
+                    names=["in_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out=None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -217,12 +255,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = base.withColumn("block", F.pmod(F.xxhash64("in_id", "text"), F.lit(n_blocks)).cast("int"))
 
     gathered = base.select("block", "held_out", "text").repartition(n_blocks, "block").sortWithinPartitions("block") \
-        .mapInPandas(_gather, "block int, kind int, key long, n long")
-    gathered.write.parquet(path := scratch_path(spark, "grams"))
-    gathered = spark.read.schema("block int, kind int, key long, n long").parquet(path)
-    counts = gathered.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+        .mapInArrow(_gather, "block int, kind int, key long, n long")
+    counts = gathered.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks"))
     counts.write.parquet(path := scratch_path(spark, "counts"))
-    counts = spark.read.schema("kind int, key long, n long").parquet(path)
+    counts = spark.read.schema("kind int, key long, n long, blocks array<int>").parquet(path)
 
     words = counts.where(F.col("kind") == WORD)
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
@@ -231,17 +267,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pair = F.col("key").bitwiseAND(0xFFFF)
     for r in grams.groupBy(pair.alias("p")).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
         order1[r["p"] >> 8, r["p"] & 0xFF] = r["n"]
-    estimated = grams.groupBy(F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("suffix")) \
-        .applyInPandas(estimator(order1), "kind int, key long, value double")
-    values = estimated.unionByName(words.select("kind", "key", F.col("n").cast("double").alias("value")))
-    slices = gathered.select("block", "kind", "key").join(values, ["kind", "key"])
+    estimated = grams.select("key", "n").groupBy(F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("suffix")) \
+        .applyInPandas(estimator(order1), "key long, value double")
+    slices = grams.join(estimated, "key").select(F.explode("blocks").alias("block"), "kind", "key", "value") \
+        .union(words.select(F.explode("blocks").alias("block"), "kind", "key", F.col("n").cast("double").alias("value")))
     # No nulls in the numbers: pandas would turn 64-bit keys into floats.
     both = slices.select("block", F.lit(0).alias("rank"), "kind", "key", "value", F.lit(None).cast("string").alias("in_id"),
                          F.lit(False).alias("held_out"), F.lit("").alias("text")) \
         .unionByName(base.select("block", F.lit(1).alias("rank"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"),
                                  F.lit(0.0).alias("value"), "in_id", "held_out", "text"))
     out = both.repartition(n_blocks, "block").sortWithinPartitions("block", "rank") \
-        .mapInPandas(_score, "in_id string, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+        .mapInArrow(_score, "in_id string, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
     n, v = total["n"], total["v"]
     return out.select(F.col("in_id").cast(docs.schema[id_col].dataType).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                       (F.col("log_counts") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"), "score")
