@@ -24,7 +24,8 @@ import math
 import os
 import re
 import struct
-import zlib
+import sys
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -192,7 +193,19 @@ class Shard:
 
 # --- tokenising ---------------------------------------------------------------
 
-PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
+# Letters up to U+00FF, then ASCII punctuation without the apostrophe: words
+# that normalisation only lower-cases and whose two parts are tokenised apart.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """How the byte-level step spells letters beyond ASCII: each UTF-8 byte as
+    itself where it is a printable Latin-1 character, otherwise as one of the
+    characters from U+0100 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    spelled = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
+    return {c: "".join(spelled[b] for b in chr(c).encode()) for c in range(128, 256)}
 
 
 def load_tokenizer(path: str):
@@ -211,19 +224,22 @@ def tokenise(texts: list[str], path: str) -> list[bytes]:
 
     The tokenizer splits at white space and never looks across it, so words
     are encoded once and remembered; the model is asked directly for plain
-    ASCII words, the whole tokenizer for all others.
+    words, the whole tokenizer for all others.
     """
     tk, cache = load_tokenizer(path), worker_cache()
     known = cache.setdefault(("words", path), {})
     if len(known) > CACHE_WORDS:
         known.clear()
-    pack = lambda ids: np.array(ids, "<u2").tobytes()
-    part = tk.model.tokenize
+    pack = lambda ids: array("H", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u2").tobytes()
+    pieces = cache.setdefault(("pieces", path), {})
+    if len(pieces) > CACHE_WORDS:
+        pieces.clear()
+    part, spelled = tk.model.tokenize, cache.setdefault("letters", byte_letters())
 
     def ids_of(piece):
-        got = known.get(piece)
+        got = pieces.get(piece)
         if got is None:
-            got = known[piece] = pack([t.id for t in part(piece)])
+            got = pieces[piece] = pack([t.id for t in part(piece)]) if piece else b""
         return got
 
     # Separators that Python splits at and the tokenizer may not.
@@ -234,8 +250,9 @@ def tokenise(texts: list[str], path: str) -> list[bytes]:
         for w in set(words).difference(known):
             m = PLAIN.fullmatch(w)
             if m:
-                low, tail = m.group(1).lower(), m.group(2)
-                known[w] = ids_of(low) + (ids_of(tail) if tail else b"")
+                letters, tail = m.groups()
+                low = letters.lower()
+                known[w] = ids_of(low if low.isascii() else low.translate(spelled)) + ids_of(tail)
             else:
                 known[w] = b""
                 others.append(w)
@@ -306,11 +323,11 @@ def read_tokens(spark, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
     number = lambda at: F.conv(F.hex(F.substring("content", at, 8)), 16, 10).cast("long")
     sums = files.select(number(5).alias("partition"), (number(13) + number(21)).alias("upto")).groupBy("partition").agg(F.max("upto").alias("n"))
-    # One row per range partition.
+    # One row per range partition that was written, so small enough to send.
     ahead = Window.orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("partition", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("base"))
     rows = files.select("content").mapInPandas(_documents, "partition long, inside long, key string, n_tokens long, ids binary")
-    return rows.join(bases, "partition").select(F.col("key").cast("long").alias("doc_id"), (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids")
+    return rows.join(F.broadcast(bases), "partition").select(F.col("key").cast("long").alias("doc_id"), (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
