@@ -2,12 +2,14 @@
 
     land     --source DIR [--raw-db raw]                       extracts -> raw tables + audit log
     build    [--raw-db raw] [--analytics-db analytics]
-             [--presentation-db presentation] [--as-of DATE]   dims/marts (+ key checks), views
+             [--staging-db staging] [--presentation-db presentation]
+             [--table SOURCE=TABLE] [--as-of DATE]             dims/marts (+ key checks), views
     inspect  [--group NAME | --relation NAME] [--rows 5]       row counts, columns, previews
     all      --source DIR ...                                  land, build, inspect in order
 
 ``build`` exits non-zero when a unique key is duplicated; ``land`` confines
-errors to the failing sheet. Previews print at most ``--rows`` rows per
+errors to the failing sheet and exits non-zero if one of the five sources
+failed, which stops ``all``. Previews print at most ``--rows`` rows per
 relation; everything else runs as distributed jobs.
 """
 
@@ -21,6 +23,7 @@ import sys
 from revmart.operators.quality import DuplicateKeyError, preview, profile
 from revmart.plans.warehouse import DIMS_MARTS, RELATIONS, STAGING, Warehouse, group_of
 from revmart.sources import landing
+from revmart.sources.schema import RAW_TABLES, SCHEMAS
 
 log = logging.getLogger("revmart.cli")
 
@@ -33,25 +36,42 @@ def _session(args):
     return SparkSession.builder.getOrCreate()
 
 
+def _tables(args) -> dict[str, str]:
+    """``--table source=raw_table`` pairs."""
+    out = {}
+    for pair in args.table or []:
+        source, eq, name = pair.partition("=")
+        if not eq or source not in RAW_TABLES:
+            raise SystemExit(f"--table wants SOURCE=TABLE with a source of {', '.join(RAW_TABLES)}; got {pair!r}")
+        out[source] = name
+    return out
+
+
 def cmd_land(spark, args) -> int:
-    res = landing.land(spark, args.source, args.raw_db)
+    tables = _tables(args)
+    res = landing.land(spark, args.source, args.raw_db, schemas=SCHEMAS if args.typed else None, tables=tables)
     for r in res:
         print(f"{args.raw_db}.{r['table_name']:40s} rows={r['row_count']} [{r['run_mode']}]")
-    return 0
+    needed = set(dict(RAW_TABLES, **tables).values())
+    failed = sorted(r["table_name"] for r in res if r["run_mode"] == landing.FAILED and r["table_name"] in needed)
+    if failed:
+        log.error("sources that failed: %s", ", ".join(failed))
+    return 1 if failed else 0
 
 
 def _warehouse(spark, args) -> Warehouse:
     as_of = _dt.date.fromisoformat(args.as_of) if args.as_of else None
-    return Warehouse.from_tables(spark, args.raw_db, as_of=as_of)
+    return Warehouse.from_tables(spark, args.raw_db, as_of=as_of, tables=_tables(args))
 
 
 def cmd_build(spark, args) -> int:
     w = _warehouse(spark, args)
     try:
-        written = w.materialize(args.analytics_db, presentation_database=args.presentation_db)
+        written = w.materialize(args.analytics_db)
     except DuplicateKeyError as e:
         log.error("%s", e)
         return 1
+    written += w.publish_views(args.staging_db, args.presentation_db)
     for t in written:
         print(f"built {t}")
     return 0
@@ -77,16 +97,13 @@ def cmd_inspect(spark, args) -> int:
         print(f"no relation matches {args.group or args.relation!r}")
         return 1
     for n in names:
-        print(f"\n-> {n}  [{group_of(n) if n in RELATIONS else '?'}]")
         try:
-            df = w.relation(n)
-            prof = profile(df, n, group_of(n)).collect()
-            rows = prof[0]["row_count"] if prof else 0
-            print(f"   rows: {rows} | columns: {len(df.columns)}")
-            print(f"   columns: {df.columns}")
-            preview(df, args.rows).show(truncate=False)
-        except Exception as e:  # report and continue, one relation at a time
-            print(f"   failed to query {n}: {e}")
+            columns = profile(w.relation(n), n, group_of(n)).select("column_name", "data_type", "null_count", "row_count")
+            print(f"\n== {n} ({group_of(n)})")
+            columns.show(1000, truncate=False)
+            preview(w.relation(n), args.rows).show(truncate=False)
+        except Exception as e:  # the other relations still print
+            print(f"!! {n}: {e}")
     return 0
 
 
@@ -99,12 +116,16 @@ def main(argv: list[str] | None = None) -> int:
     def common(p):
         p.add_argument("--raw-db", default="raw")
         p.add_argument("--analytics-db", default="analytics")
+        p.add_argument("--staging-db", default="staging")
         p.add_argument("--presentation-db", default="presentation")
+        p.add_argument("--table", action="append", metavar="SOURCE=TABLE", help="raw table of a source, e.g. sales=book_sheet")
         p.add_argument("--as-of", help="RFM reference date (YYYY-MM-DD); default today")
 
     p = sub.add_parser("land")
     p.add_argument("--source", required=True)
     p.add_argument("--raw-db", default="raw")
+    p.add_argument("--table", action="append", metavar="SOURCE=TABLE", help="table that a source's input becomes")
+    p.add_argument("--typed", action="store_true", help="read the five sources by their declared types")
     p = sub.add_parser("build")
     common(p)
     p = sub.add_parser("inspect")
@@ -115,6 +136,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--rows", type=int, default=5)
     p = sub.add_parser("all")
     p.add_argument("--source", required=True)
+    p.add_argument("--typed", action="store_true")
     common(p)
     p.add_argument("--rows", type=int, default=5)
     args = ap.parse_args(argv)

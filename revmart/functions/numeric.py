@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Declared output types of the warehouse (fixed values of the data model).
-MONEY = T.DecimalType(15, 2)          # money on one row; project cash flows
-# Money aggregated over the sales fact (sums, totals, year-to-date, trends).
-# Declared wider than a row's NUMERIC(15,2): yearly revenue passes 1e13 long
-# before 100 TB of sales, and a narrower type would abort the job (ANSI).
+MONEY = T.DecimalType(15, 2)          # money on one sales row
+# Money that is a sum: totals of the sales fact, yearly targets, project cash
+# flows. Wider than a row's NUMERIC(15,2): such sums pass 1e13 long before
+# 100 TB of sales, and a narrower type would abort the job (ANSI).
 MONEY_TOTAL = T.DecimalType(38, 2)
 MONEY_DIFF = T.DecimalType(16, 2)     # revenue - cogs on one row
 UNIT_PRICE = T.DecimalType(12, 2)     # per-unit prices

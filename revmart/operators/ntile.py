@@ -75,6 +75,39 @@ def with_global_row_number(df: DataFrame, order: list[Column], out: str,
     return numbered, offsets
 
 
+def cut_points(keys: DataFrame, k: int, num_partitions: int | None = None) -> list:
+    """First row of each of the tiles 2..k when the rows of ``keys`` are
+    sorted by all its columns, ascending (at most k - 1 rows)."""
+    numbered, _ = with_global_row_number(keys, [F.col(c) for c in keys.columns], "__nt_rn", num_partitions)
+    n = F.col("__nt_n")
+    q = F.floor(n / F.lit(k)).cast(T.LongType())
+    starts = [F.lit(j) * q + F.least(F.lit(j), n - q * F.lit(k)) + 1 for j in range(1, k)]
+    rows = numbered.where(F.col("__nt_rn").isin(starts) & (F.col("__nt_rn") > 1)).orderBy("__nt_rn")
+    return rows.select(*keys.columns).distinct().collect()
+
+
+def add_ntiles(df: DataFrame, k: int, orders: dict[str, list[Column]],
+               num_partitions: int | None = None) -> DataFrame:
+    """Add NTILE(k) columns for several orders in one pass over ``df``.
+
+    Each order is a list of key columns, ascending, nulls first, ending in a
+    unique one. Only these narrow keys are sorted; the k - 1 cut points of
+    each order become literals, and a row's tile is one more than the number
+    of cut points it does not precede.
+    """
+    tiles = {}
+    for out, order in orders.items():
+        names = [f"__nt_k{i}" for i in range(len(order))]
+        keys = df.select(*[c.alias(n) for c, n in zip(order, names)])
+        own = F.struct(*[c.alias(n) for c, n in zip(order, names)])
+        tile = F.lit(1)
+        for row in cut_points(keys, k, num_partitions):
+            cut = F.struct(*[F.lit(row[n]).cast(keys.schema[n].dataType).alias(n) for n in names])
+            tile = tile + (own >= cut).cast(T.IntegerType())
+        tiles[out] = tile.cast(T.IntegerType())
+    return df.withColumns(tiles)
+
+
 def add_ntile(df: DataFrame, k: int, order: list[Column], out: str,
               num_partitions: int | None = None) -> DataFrame:
     """Add column ``out`` = NTILE(k) OVER (ORDER BY ``order``), exactly.

@@ -13,8 +13,6 @@ aggregate over the per-key counts.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,24 +43,38 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def key_stats(df: DataFrame, key: str) -> DataFrame:
-    """One row: row_count, null_keys, distinct_keys, duplicate_keys."""
-    per_key = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_c"))
-    return per_key.agg(
-        F.coalesce(F.sum("_c"), F.lit(0)).cast(LONG).alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("_k").isNull(), F.col("_c"))), F.lit(0)).cast(LONG).alias("null_keys"),
-        F.count("_k").cast(LONG).alias("distinct_keys"),
-        F.count(F.when(F.col("_k").isNotNull() & (F.col("_c") > 1), 1)).cast(LONG).alias("duplicate_keys"),
+def key_stats(df: DataFrame, *keys: str) -> DataFrame:
+    """One row per key, from one pass: key_column, row_count, null_keys,
+    distinct_keys, duplicate_keys."""
+    values = F.array(*[F.struct(F.lit(k).alias("key_column"), F.col(k).cast("string").alias("_k")) for k in keys])
+    per_key = (df.select(F.explode(values).alias("_v")).select("_v.*")
+               .groupBy("key_column", "_k").agg(F.count(F.lit(1)).alias("_c")))
+    found = per_key.groupBy("key_column").agg(
+        F.sum("_c").alias("row_count"),
+        F.sum(F.when(F.col("_k").isNull(), F.col("_c")).otherwise(0)).alias("null_keys"),
+        F.count("_k").alias("distinct_keys"),
+        F.count(F.when(F.col("_k").isNotNull() & (F.col("_c") > 1), 1)).alias("duplicate_keys"),
     )
+    # A relation without rows still reports its keys.
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k) for k in keys])).alias("key_column"))
+    counts = ("row_count", "null_keys", "distinct_keys", "duplicate_keys")
+    return names.join(found, "key_column", "left").select(
+        "key_column", *[F.coalesce(F.col(c), F.lit(0)).cast(LONG).alias(c) for c in counts])
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union as a flat tree, so that no frame is analysed again and again."""
+    while len(parts) > 1:
+        parts = [a.union(b) for a, b in zip(parts[::2], parts[1::2])] + (parts[-1:] if len(parts) % 2 else [])
+    return parts[0]
 
 
 def unique_key_report(warehouse, checks=UNIQUE_KEYS) -> DataFrame:
-    parts = [
-        key_stats(warehouse.relation(rel), key).select(
-            F.lit(rel).alias("relation"), F.lit(key).alias("key_column"), "*")
-        for rel, key in checks
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    by_relation: dict[str, list[str]] = {}
+    for rel, key in checks:
+        by_relation.setdefault(rel, []).append(key)
+    return _union([key_stats(warehouse.relation(rel), *keys).select(F.lit(rel).alias("relation"), "*")
+                   for rel, keys in by_relation.items()])
 
 
 def assert_unique(df: DataFrame, key: str, relation: str = "relation") -> None:
@@ -74,18 +86,6 @@ def assert_unique(df: DataFrame, key: str, relation: str = "relation") -> None:
         raise DuplicateKeyError(f"{relation}.{key} is not unique: {sample}")
 
 
-def sql_type_name(dt: T.DataType) -> str:
-    """ANSI-style type name, as DuckDB's ``typeof`` prints it."""
-    if isinstance(dt, T.DecimalType):
-        return f"DECIMAL({dt.precision},{dt.scale})"
-    return {
-        T.StringType: "VARCHAR", T.IntegerType: "INTEGER", T.LongType: "BIGINT",
-        T.DateType: "DATE", T.DoubleType: "DOUBLE", T.BooleanType: "BOOLEAN",
-        T.TimestampType: "TIMESTAMP WITH TIME ZONE", T.TimestampNTZType: "TIMESTAMP",
-        T.ShortType: "SMALLINT", T.FloatType: "FLOAT",
-    }.get(type(dt), dt.simpleString().upper())
-
-
 def profile(df: DataFrame, relation: str, group: str) -> DataFrame:
     """Per column: type, row count and null count, from one aggregate pass."""
     cols = df.columns
@@ -93,7 +93,7 @@ def profile(df: DataFrame, relation: str, group: str) -> DataFrame:
                  *[F.count(F.col(f"`{c}`")).alias(f"_c{i}") for i, c in enumerate(cols)])
     entries = F.array(*[
         F.struct(F.lit(c).alias("column_name"),
-                 F.lit(sql_type_name(df.schema[c].dataType)).alias("data_type"),
+                 F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
                  F.col(f"_c{i}").alias("_nn"))
         for i, c in enumerate(cols)
     ])
@@ -110,7 +110,7 @@ def profile(df: DataFrame, relation: str, group: str) -> DataFrame:
 def relation_profile(warehouse, names) -> DataFrame:
     from revmart.plans.warehouse import group_of
     parts = [profile(warehouse.relation(n), n, group_of(n)) for n in names]
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
@@ -135,12 +135,12 @@ def inspect(warehouse, group: str | None = None, relation: str | None = None,
     return relation_profile(warehouse, names), {n: preview(warehouse.relation(n), rows) for n in names}
 
 
-# Relations profiled by the registered profile query: every layer, as the
-# reference's inspector lists all of them (staging, dimensions, marts and
-# the six dashboard pages), in that order.
+# Relations that the registered profile and key queries look at: every layer
+# but the calendar, which is made from constants.
 def _all_relations() -> tuple[str, ...]:
     from revmart.plans.warehouse import RELATIONS
-    return tuple(RELATIONS)
+    return tuple(n for n in RELATIONS if n != "dim_date")
 
 
 PROFILED = _all_relations()
+DERIVED_KEYS = tuple((r, k) for r, k in UNIQUE_KEYS if r != "dim_date")

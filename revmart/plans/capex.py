@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import INDEX3, MONEY, RATE, ratio
+from revmart.functions import INDEX3, MONEY_TOTAL, RATE, ratio
 from revmart.plans.marts import discount_factor_pv
 
 LONG = T.LongType()
@@ -49,17 +49,17 @@ def vw_capex_project_summary(mart_cashflow: DataFrame) -> DataFrame:
         F.max("cashflow_date").alias("project_end"),
         F.min(F.when(F.col("cumulative_cashflow") >= 0, F.col("period_t"))).alias("_payback"),
     )
-    npv = F.col("_npv").cast(MONEY)
-    inv = F.col("_inv").cast(MONEY)
+    npv = F.col("_npv").cast(MONEY_TOTAL)
+    inv = F.col("_inv").cast(MONEY_TOTAL)
     # DISTINCT ON + LEFT JOIN USING never matches a NULL project id.
     payback = F.when(F.col("product_id").isNotNull(), F.col("_payback"))
     return g.select(
         "product_id", "project_start", "project_end",
         F.col("discount_rate").cast(RATE).alias("discount_rate"),
         inv.alias("initial_investment"),
-        F.col("_in").cast(MONEY).alias("total_inflows"),
-        F.col("_out").cast(MONEY).alias("total_outflows"),
-        F.col("_total").cast(MONEY).alias("total_undiscounted_cf"),
+        F.col("_in").cast(MONEY_TOTAL).alias("total_inflows"),
+        F.col("_out").cast(MONEY_TOTAL).alias("total_outflows"),
+        F.col("_total").cast(MONEY_TOTAL).alias("total_undiscounted_cf"),
         npv.alias("npv"),
         F.when(npv > 0, "Viable").otherwise("Not Viable").alias("viability"),
         payback.cast(LONG).alias("payback_period"),
@@ -88,6 +88,6 @@ def vw_capex_sensitivity(mart_cashflow: DataFrame) -> DataFrame:
         "product_id", "_r.discount_rate", "_r.npv_raw")
     return long.select(
         "product_id", "discount_rate",
-        F.round(F.col("npv_raw"), 2).cast(MONEY).alias("npv"),
+        F.round(F.col("npv_raw"), 2).cast(MONEY_TOTAL).alias("npv"),
         F.when(F.col("npv_raw") > 0, "Positive").otherwise("Negative").alias("npv_sign"),
     ).orderBy(F.col("product_id").asc_nulls_last(), F.col("discount_rate").asc_nulls_last())

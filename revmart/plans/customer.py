@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import MONEY_TOTAL, pct
-from revmart.operators.ntile import add_ntile
+from revmart.operators.ntile import add_ntiles
 from revmart.plans.executive import sales_by_customer_year
-from revmart.plans.marts import customer_multiplicity
+from revmart.plans.marts import customer_multiplicity, last_date
+from revmart.session import ensure_checkpoint_dir
 
 LONG = T.LongType()
 INT = T.IntegerType()
@@ -98,11 +99,13 @@ def vw_customer_rfm(stg_sales: DataFrame, stg_customers: DataFrame,
     customers get r_score 1; ``recency_high_is_recent=True`` flips that.
     Scores are computed over every customer id in the fact (NULL and
     unknown ids included) before the join to customers drops them.
-    Each NTILE is exact and distributed (see ``operators.ntile``); ties are
-    broken by customer_id.
+    The NTILEs are exact and distributed (see ``operators.ntile``); ties are
+    broken by customer_id. Building the frame runs jobs: the customer roll-up
+    is written once to the checkpoint folder, and the cut points of the three
+    metrics are found from (metric, customer_id) pairs.
     """
     raw = stg_sales.groupBy("customer_id").agg(
-        F.max("order_date").alias("last_order_date"),
+        F.max(last_date(stg_sales)).alias("last_order_date"),
         F.countDistinct("order_id").alias("frequency"),
         F.sum("revenue").alias("_monetary"),
     ).select(
@@ -111,17 +114,22 @@ def vw_customer_rfm(stg_sales: DataFrame, stg_customers: DataFrame,
         F.col("_monetary").cast(MONEY_TOTAL).alias("monetary"),
         F.datediff(F.lit(as_of), F.col("last_order_date")).cast(INT).alias("recency_days"),
     )
-    tie = F.col("customer_id").asc_nulls_last()
-    rec = F.col("recency_days").desc_nulls_first() if recency_high_is_recent \
-        else F.col("recency_days").asc_nulls_last()
-    scored = add_ntile(raw, 5, [rec, tie], "r_score")
-    scored = add_ntile(scored, 5, [F.col("frequency").asc_nulls_last(), tie], "f_score")
-    scored = add_ntile(scored, 5, [F.col("monetary").asc_nulls_last(), tie], "m_score")
-    j = scored.join(stg_customers, "customer_id")
+    ensure_checkpoint_dir(raw.sparkSession)
+    raw = raw.checkpoint(eager=True)
+
+    def key(metric, descending=False):
+        first = [metric.isNotNull(), -metric] if descending else [metric.isNull(), metric]
+        return [*first, F.col("customer_id").isNull(), F.col("customer_id")]
+    scored = add_ntiles(raw, 5, {
+        "r_score": key(F.col("recency_days"), descending=recency_high_is_recent),
+        "f_score": key(F.col("frequency")), "m_score": key(F.col("monetary"))})
+    # Copies of a customer row are counted before the join and spelled out after it.
+    cust = customer_multiplicity(stg_customers, ["customer_segment", "country"])
+    j = scored.join(cust, "customer_id").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast(LONG), F.col("_k"))))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return j.select(
         "customer_id", "customer_segment", "country", "last_order_date",
         "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
         (r + f + m).cast(INT).alias("rfm_total"),
         rfm_segment(r, f, m).alias("rfm_segment"),
-    ).orderBy(F.col("rfm_total").desc_nulls_first())
+    ).orderBy(F.col("rfm_total").desc_nulls_first(), "customer_id")

@@ -38,12 +38,12 @@ def dim_customers(stg_customers: DataFrame) -> DataFrame:
                 "customer_id", "customer_segment", "country", "discount_premium_band"))
 
 
-def dim_products(stg_sales: DataFrame) -> DataFrame:
+def dim_products(product_sales: DataFrame) -> DataFrame:
     """One row per product: mean manufacturing price (4 dp), max target price."""
-    g = stg_sales.groupBy("product_id").agg(
-        F.sum("manufacturing_price").alias("_mfg_sum"),
-        F.count("manufacturing_price").alias("_mfg_n"),
-        F.max("target_sale_price").alias("target_sale_price"),
+    g = product_sales.groupBy("product_id").agg(
+        F.sum("mfg_sum").alias("_mfg_sum"),
+        F.sum("mfg_n").alias("_mfg_n"),
+        F.max("target_max").alias("target_sale_price"),
     )
     return g.select(
         uuid5(F.col("product_id")).alias("product_key"),

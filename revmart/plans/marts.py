@@ -21,13 +21,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY, MONEY_TOTAL, RATE, UNIT_PRICE4, month_abbr, pct, ratio, uuid5, year_month_label,
+    MONEY, MONEY_TOTAL, RATE, UNIT_PRICE4, month_abbr, pct, ratio, ratio_units, uuid5, year_month_label,
 )
 
 INT = T.IntegerType()
 LONG = T.LongType()
 
 
+def order_sales(stg_sales: DataFrame) -> DataFrame:
+    """The fact rolled up to customer x year x month x order: all that the
+    annual, monthly and customer relations read. Sums keep their names, so a
+    relation computes the same from it as from the fact."""
+    return stg_sales.groupBy("customer_id", "order_year", "order_month", "order_id").agg(
+        *[F.sum(c).alias(c) for c in ("revenue", "calculated_profit", "cogs", "units_sold", "discount_premium")],
+        F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
+
+
+def first_date(sales: DataFrame) -> str:
+    return "first_date" if "first_date" in sales.columns else "order_date"
+
+
+def last_date(sales: DataFrame) -> str:
+    return "last_date" if "last_date" in sales.columns else "order_date"
+
+
+def product_sales(stg_sales: DataFrame) -> DataFrame:
+    """The fact rolled up to product x year x month: sums, and the sums and
+    counts behind average prices and mean discount ratios."""
+    off = ratio_units(F.col("revenue") - F.col("gross_sales"), F.col("gross_sales"))
+    return stg_sales.groupBy("product_id", "order_year", "order_month").agg(
+        *[F.sum(c).alias(c) for c in ("revenue", "calculated_profit", "units_sold", "discount_premium", "gross_sales")],
+        F.sum("manufacturing_price").alias("mfg_sum"), F.count("manufacturing_price").alias("mfg_n"),
+        F.sum("target_sale_price").alias("target_sum"), F.count("target_sale_price").alias("target_n"),
+        F.max("target_sale_price").alias("target_max"), F.sum(off).alias("off_units"), F.count(off).alias("off_n"))
+
+
 def mart_annual_performance(stg_sales: DataFrame, stg_targets: DataFrame) -> DataFrame:
     """M1: yearly revenue, profit, cost, units, distinct orders/customers,
     target, variance, attainment % and gross margin %."""
@@ -106,8 +134,8 @@ def _customer_rollup(stg_sales: DataFrame) -> DataFrame:
         F.sum("units_sold").alias("_units"),
         F.sum("revenue").alias("_rev"),
         F.sum("calculated_profit").alias("_profit"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
+        F.min(first_date(stg_sales)).alias("first_order_date"),
+        F.max(last_date(stg_sales)).alias("last_order_date"),
         F.countDistinct("order_year").alias("active_years"),
         F.sum("discount_premium").alias("_disc"),
     )
@@ -204,10 +232,10 @@ def mart_product_cashflow(stg_cash_flow: DataFrame) -> DataFrame:
                           F.col("cashflow_date").cast("string"))).alias("product_cashflow_key"),
         "cashflow_date", "cashflow_year", "product_id",
         F.col("assigned_discount_rate").cast(RATE).alias("assigned_discount_rate"),
-        cf.cast(MONEY).alias("operational_cashflow"),
+        cf.cast(MONEY_TOTAL).alias("operational_cashflow"),
         "period_t",
         F.when(cf < 0, "Outflow").otherwise("Inflow").alias("flow_type"),
         F.round(discount_factor_pv(cf, F.col("assigned_discount_rate"), F.col("period_t")), 2)
-         .cast(MONEY).alias("discounted_cashflow"),
-        F.sum(cf).over(run).cast(MONEY).alias("cumulative_cashflow"),
+         .cast(MONEY_TOTAL).alias("discounted_cashflow"),
+        F.sum(cf).over(run).cast(MONEY_TOTAL).alias("cumulative_cashflow"),
     )

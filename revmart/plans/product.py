@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY_TOTAL, UNIT_PRICE, UNIT_PRICE4, mean_ratio_pct, pct, ratio, ratio_units,
+    MONEY_TOTAL, UNIT_PRICE, UNIT_PRICE4, mean_ratio_pct, pct, ratio,
 )
 from revmart.plans.marts import customer_multiplicity
 
@@ -24,13 +24,13 @@ def vw_product_performance(mart_product: DataFrame) -> DataFrame:
     ).orderBy(F.col("total_revenue").desc_nulls_first())
 
 
-def vw_product_monthly_trend(stg_sales: DataFrame) -> DataFrame:
+def vw_product_monthly_trend(product_sales: DataFrame) -> DataFrame:
     """Product x month units, revenue, profit, margin.
 
     Grouped by (product, year, month); month start and quarter are
     functions of (year, month) and are derived after aggregation.
     """
-    g = stg_sales.groupBy("product_id", "order_year", "order_month").agg(
+    g = product_sales.groupBy("product_id", "order_year", "order_month").agg(
         F.sum("units_sold").alias("_units"),
         F.sum("revenue").alias("_rev"),
         F.sum("calculated_profit").alias("_profit"),
@@ -77,19 +77,18 @@ def vw_product_segment_matrix(stg_sales: DataFrame, stg_customers: DataFrame) ->
     ).orderBy(F.col("product_id").asc_nulls_last(), F.col("revenue").desc_nulls_first())
 
 
-def vw_product_pricing(stg_sales: DataFrame) -> DataFrame:
+def vw_product_pricing(product_sales: DataFrame) -> DataFrame:
     """Product x year average prices, realised unit price and the
     unweighted mean of per-row discount/premium ratios."""
-    disc_units = ratio_units(F.col("revenue") - F.col("gross_sales"), F.col("gross_sales"))
-    g = stg_sales.groupBy("product_id", F.col("order_year").alias("year")).agg(
-        F.sum("manufacturing_price").alias("_mfg_sum"),
-        F.count("manufacturing_price").alias("_mfg_n"),
-        F.sum("target_sale_price").alias("_tgt_sum"),
-        F.count("target_sale_price").alias("_tgt_n"),
+    g = product_sales.groupBy("product_id", F.col("order_year").alias("year")).agg(
+        F.sum("mfg_sum").alias("_mfg_sum"),
+        F.sum("mfg_n").alias("_mfg_n"),
+        F.sum("target_sum").alias("_tgt_sum"),
+        F.sum("target_n").alias("_tgt_n"),
         F.sum("revenue").alias("_rev"),
         F.sum("units_sold").alias("_units"),
-        F.sum(disc_units).alias("_disc_units"),
-        F.count(disc_units).alias("_disc_n"),
+        F.sum("off_units").alias("_disc_units"),
+        F.sum("off_n").alias("_disc_n"),
         F.sum("discount_premium").alias("_disc"),
         F.sum("gross_sales").alias("_gross"),
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    BAND, MONEY, MONEY_DIFF, RATE, TENURE, UNIT_PRICE, month_name_padded,
+    BAND, MONEY, MONEY_DIFF, MONEY_TOTAL, RATE, TENURE, UNIT_PRICE, month_name_padded,
     pg_int, varchar,
 )
 
@@ -63,7 +63,7 @@ def stg_revenue_targets(raw: DataFrame) -> DataFrame:
     """Annual revenue targets keyed by year."""
     d = F.col("target_date").cast(T.DateType())
     return raw.select(
-        F.col("revenue_target").cast(MONEY).alias("targeted_revenue"),
+        F.col("revenue_target").cast(MONEY_TOTAL).alias("targeted_revenue"),
         d.alias("target_date"),
         F.year(d).cast(INT).alias("target_year"),
     )
@@ -77,7 +77,7 @@ def stg_cash_flow(raw: DataFrame) -> DataFrame:
         F.year(d).cast(INT).alias("cashflow_year"),
         varchar(F.trim(F.col("product"))).alias("product_id"),
         F.col("discount_rate").cast(RATE).alias("assigned_discount_rate"),
-        F.col("cashflow").cast(MONEY).alias("operational_cashflow"),
+        F.col("cashflow").cast(MONEY_TOTAL).alias("operational_cashflow"),
     )
 
 

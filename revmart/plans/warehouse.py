@@ -2,9 +2,12 @@
 
 Each relation is a pure function of DataFrames; ``Warehouse`` wires them
 together and memoises the frames so that, e.g., the KPI scorecard and the
-growth view are built on the same annual-mart plan. Nothing here triggers a
-job: Catalyst sees one logical plan per relation, prunes the scans to the
-columns it uses, and plans the shuffles.
+growth view are built on the same annual-mart plan. Frames are lazy, but for
+the RFM view, whose roll-up and cut points are computed while it is built.
+
+All relations that do not need the fact's own grain read one of two roll-ups
+of it (``ROLLUPS``): ``materialize`` writes them once, ``share_rollups`` keeps
+them in the checkpoint folder.
 
 ``materialize`` is the reference's deploy step: dimensions and marts are
 written as tables (CTAS), then presentation relations are defined over the
@@ -22,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from revmart.plans import (
     capex, customer, dims, employee, executive, forecast, marts, product, staging,
 )
+from revmart.session import ensure_checkpoint_dir
 from revmart.sources.fixtures import testdata_sources
 from revmart.sources.raw import Sources
 
@@ -51,17 +55,19 @@ class Warehouse:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, database: str = "raw",
-                    as_of: _dt.date | None = None) -> "Warehouse":
-        """Warehouse over landed raw tables (see ``revmart.sources.landing``)."""
-        return cls(Sources.from_tables(spark, database), spark, as_of)
+                    as_of: _dt.date | None = None, tables: dict[str, str] | None = None) -> "Warehouse":
+        """Warehouse over landed raw tables (see ``revmart.sources.landing``).
+        ``tables`` names the raw table of a source where it is not the usual
+        one, e.g. ``{"sales": "book_sheet"}``."""
+        return cls(Sources.from_tables(spark, database, tables), spark, as_of)
 
     def relation(self, name: str) -> DataFrame:
         if name in self._overrides:
             return self._overrides[name]
         if name not in self._cache:
-            if name not in RELATIONS:
+            if name not in RELATIONS and name not in ROLLUPS:
                 raise KeyError(f"unknown relation {name!r}")
-            self._cache[name] = RELATIONS[name][1](self)
+            self._cache[name] = ROLLUPS[name](self) if name in ROLLUPS else RELATIONS[name][1](self)
         return self._cache[name]
 
     __getitem__ = relation
@@ -70,7 +76,19 @@ class Warehouse:
         """Serve relation ``name`` from an existing table (e.g. one written by
         an earlier ``materialize``) instead of recomputing it."""
         self._overrides[name] = self.spark.table(table)
-        self._cache = {k: v for k, v in self._cache.items() if RELATIONS[k][0] == STAGING}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop the frames that must be rebuilt over newly written tables."""
+        self._cache = {k: v for k, v in self._cache.items() if k in RELATIONS and RELATIONS[k][0] == STAGING}
+
+    def share_rollups(self) -> "Warehouse":
+        """Compute both roll-ups of the fact now, once for all relations."""
+        ensure_checkpoint_dir(self.spark)
+        for name in ROLLUPS:
+            self._overrides[name] = self.relation(name).checkpoint(eager=True)
+        self._forget()
+        return self
 
     def materialize(self, database: str, names: list[str] | None = None,
                     presentation_database: str | None = None) -> list[str]:
@@ -78,14 +96,21 @@ class Warehouse:
         refresh, written next to the live table and swapped in), check their
         unique keys first (a duplicate raises and keeps the previous table, as
         a failed unique index stops the reference's run), and re-point later
-        relations at the written tables. With ``presentation_database``,
-        the presentation relations are also written there as tables for BI
-        import. Returns the tables written."""
-        from revmart.operators.quality import UNIQUE_KEYS, assert_unique
+        relations at the written tables. The roll-ups of the fact are written
+        first, so the fact is read for them, its own staging aggregates and
+        no more. With ``presentation_database``, the presentation relations
+        are also written there as tables for BI import. Returns the tables
+        written."""
+        from revmart.operators.quality import UNIQUE_KEYS, DuplicateKeyError, assert_unique
         from revmart.sources.landing import stage_table, swap_in
 
         written = []
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        if names is None:
+            for name in ROLLUPS:
+                swap_in(self.spark, stage_table(self.spark, self.relation(name), database, name), database, name)
+                self._overrides[name] = self.spark.table(f"{database}.{name}")
+            self._forget()
         for name, (group, _) in RELATIONS.items():
             if group != DIMS_MARTS or (names is not None and name not in names):
                 continue
@@ -94,14 +119,16 @@ class Warehouse:
             staging = stage_table(self.spark, self.relation(name), database, name)
             for rel, key in UNIQUE_KEYS:
                 if rel == name:
-                    assert_unique(self.spark.table(staging), key, f"{database}.{name}")
+                    try:
+                        assert_unique(self.spark.table(staging), key, f"{database}.{name}")
+                    except DuplicateKeyError:
+                        self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
+                        raise
             swap_in(self.spark, staging, database, name)
             full = f"{database}.{name}"
             self._overrides[name] = self.spark.table(full)
             written.append(full)
-        # downstream frames must be rebuilt over the written tables
-        self._cache = {k: v for k, v in self._cache.items()
-                       if RELATIONS[k][0] == STAGING}
+        self._forget()
         if presentation_database:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {presentation_database}")
             for name, (group, _) in RELATIONS.items():
@@ -113,6 +140,26 @@ class Warehouse:
         return written
 
 
+    def publish_views(self, staging_database: str, presentation_database: str) -> list[str]:
+        """Staging and presentation relations as persistent views. Each shows
+        the relation's rows as of this build, from a table written beside it
+        (``<name>__rows``), since a DataFrame has no SQL text to store."""
+        written = []
+        for database, groups in ((staging_database, (STAGING,)), (presentation_database, None)):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            for name, (group, _) in RELATIONS.items():
+                if (group in groups) if groups else group not in (STAGING, DIMS_MARTS):
+                    written.append(self._publish(database, name))
+        return written
+
+    def _publish(self, database: str, name: str) -> str:
+        from revmart.sources.landing import stage_table, swap_in
+        table = f"{name}__rows"
+        swap_in(self.spark, stage_table(self.spark, self.relation(name), database, table), database, table)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{table}")
+        return f"{database}.{name}"
+
+
 def register_views(w: "Warehouse", names: list[str] | None = None, prefix: str = "") -> list[str]:
     """Expose relations to SQL as temporary views (``prefix + name``), so
     consumers can ``spark.sql("SELECT ... FROM vw_exec_kpi_scorecard")``."""
@@ -125,9 +172,15 @@ def register_views(w: "Warehouse", names: list[str] | None = None, prefix: str =
 
 def _rfm(w: Warehouse) -> DataFrame:
     as_of = w.as_of or _dt.date.today()
-    return customer.vw_customer_rfm(w["stg_sales"], w["stg_customers"], as_of)
+    return customer.vw_customer_rfm(w["order_sales"], w["stg_customers"], as_of)
 
 
+# Internal roll-ups of the fact: not relations of the warehouse themselves.
+ROLLUPS: dict[str, Callable] = {
+    "order_sales": lambda w: marts.order_sales(w["stg_sales"]),
+    "product_sales": lambda w: marts.product_sales(w["stg_sales"]),
+}
+
 Builder = Callable[[Warehouse], DataFrame]
 
 # name -> (group, builder); order follows the reference's layer listing.
@@ -138,13 +191,13 @@ RELATIONS: dict[str, tuple[str, Builder]] = {
     "stg_cash_flow": (STAGING, lambda w: staging.stg_cash_flow(w.sources.cash_flow)),
     "stg_employees": (STAGING, lambda w: staging.stg_employees(w.sources.employees)),
     "dim_customers": (DIMS_MARTS, lambda w: dims.dim_customers(w["stg_customers"])),
-    "dim_products": (DIMS_MARTS, lambda w: dims.dim_products(w["stg_sales"])),
+    "dim_products": (DIMS_MARTS, lambda w: dims.dim_products(w["product_sales"])),
     "dim_date": (DIMS_MARTS, lambda w: dims.dim_date(w.spark)),
     "mart_annual_performance": (DIMS_MARTS, lambda w: marts.mart_annual_performance(
-        w["stg_sales"], w["stg_revenue_targets"])),
-    "mart_monthly_sales": (DIMS_MARTS, lambda w: marts.mart_monthly_sales(w["stg_sales"])),
+        w["order_sales"], w["stg_revenue_targets"])),
+    "mart_monthly_sales": (DIMS_MARTS, lambda w: marts.mart_monthly_sales(w["order_sales"])),
     "mart_customer_sales": (DIMS_MARTS, lambda w: marts.mart_customer_sales(
-        w["stg_sales"], w["stg_customers"])),
+        w["order_sales"], w["stg_customers"])),
     "mart_product_sales": (DIMS_MARTS, lambda w: marts.mart_product_sales(w["stg_sales"])),
     "mart_product_cashflow": (DIMS_MARTS, lambda w: marts.mart_product_cashflow(w["stg_cash_flow"])),
     "vw_exec_kpi_scorecard": (EXECUTIVE, lambda w: executive.vw_exec_kpi_scorecard(
@@ -152,20 +205,20 @@ RELATIONS: dict[str, tuple[str, Builder]] = {
     "vw_exec_monthly_trend": (EXECUTIVE, lambda w: executive.vw_exec_monthly_trend(
         w["mart_monthly_sales"])),
     "vw_exec_segment_summary": (EXECUTIVE, lambda w: executive.vw_exec_segment_summary(
-        w["stg_sales"], w["stg_customers"])),
+        w["order_sales"], w["stg_customers"])),
     "vw_customer_performance": (CUSTOMER, lambda w: customer.vw_customer_performance(
         w["mart_customer_sales"])),
     "vw_customer_yearly_revenue": (CUSTOMER, lambda w: customer.vw_customer_yearly_revenue(
-        w["stg_sales"], w["stg_customers"])),
+        w["order_sales"], w["stg_customers"])),
     "vw_customer_country_summary": (CUSTOMER, lambda w: customer.vw_customer_country_summary(
-        w["stg_sales"], w["stg_customers"])),
+        w["order_sales"], w["stg_customers"])),
     "vw_customer_rfm": (CUSTOMER, _rfm),
     "vw_product_performance": (PRODUCT, lambda w: product.vw_product_performance(
         w["mart_product_sales"])),
-    "vw_product_monthly_trend": (PRODUCT, lambda w: product.vw_product_monthly_trend(w["stg_sales"])),
+    "vw_product_monthly_trend": (PRODUCT, lambda w: product.vw_product_monthly_trend(w["product_sales"])),
     "vw_product_segment_matrix": (PRODUCT, lambda w: product.vw_product_segment_matrix(
         w["stg_sales"], w["stg_customers"])),
-    "vw_product_pricing": (PRODUCT, lambda w: product.vw_product_pricing(w["stg_sales"])),
+    "vw_product_pricing": (PRODUCT, lambda w: product.vw_product_pricing(w["product_sales"])),
     "vw_revenue_actual_vs_target": (FORECAST, lambda w: forecast.vw_revenue_actual_vs_target(
         w["vw_exec_kpi_scorecard"])),
     "vw_revenue_growth": (FORECAST, lambda w: forecast.vw_revenue_growth(w["vw_exec_kpi_scorecard"])),

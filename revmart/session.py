@@ -1,11 +1,9 @@
 """Session helpers: a configured session for local runs and the checkpoint
-directory rule (use the cluster's shared ``spark.checkpoint.dir``; fall back
-to a folder under the warehouse directory only when it is unset)."""
+directory rule (the cluster's shared ``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
-import uuid
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -32,24 +30,19 @@ def _current_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint`` has a reliable directory.
-
-    Order: an already set checkpoint dir; the session's
-    ``spark.checkpoint.dir``; else ``<warehouse>/_checkpoints/<app id>``
-    (shared storage on a cluster, a local folder in local mode and tests).
+    """Make sure ``DataFrame.checkpoint`` has a reliable directory: the one
+    already set, or the session's ``spark.checkpoint.dir``. A cluster without
+    one is an error, since no folder of the driver's disk would do; a local
+    session (one process, as in tests) gets a temporary folder.
     """
-    try:
-        cur = _current_checkpoint_dir(spark)
-    except Exception:  # no driver-side context (remote session): server decides
-        return ""
+    cur = _current_checkpoint_dir(spark)
     if cur:
         return cur
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        wh = spark.conf.get("spark.sql.warehouse.dir")
-        if wh.startswith("file:"):
-            wh = wh[len("file:"):]
-        conf_dir = os.path.join(wh, "_checkpoints", spark.sparkContext.applicationId or uuid.uuid4().hex)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        conf_dir = tempfile.mkdtemp(prefix="revmart-checkpoints-")
     spark.sparkContext.setCheckpointDir(conf_dir)
     return conf_dir

@@ -9,60 +9,21 @@ columns and pushes filters into the scans.
 
 from __future__ import annotations
 
-import weakref
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revmart.functions import MONEY_TOTAL
 from revmart.sources.raw import Sources
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
-# The fact-sized table: its scan feeds the joins and per-row casts of the
-# sales and cash-flow sources.
-FACT_TABLES = ("lineitem",)
-
-
-# Scans reused per live session object (weak keys: a stopped and replaced
-# session never sees another session's frames).
-_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table. The scan DataFrame is reused within a
-    session (a DataFrame is immutable), so file listing and footer reads
-    happen once per table instead of once per relation."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _SCANS.setdefault(spark, {})
-    if path not in per_session:
-        df = spark.read.parquet(path)
-        per_session[path] = spread(df) if name in FACT_TABLES else df
-    return per_session[path]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer input splits than task slots.
-
-    A fact stored as one file with one row group is read by a single task,
-    which would then run every join and per-row cast alone. The rows are
-    hash-partitioned on ``monotonically_increasing_id()`` taken right at the
-    scan: unique per row (so even exact duplicate rows are spread), stable
-    on a retry (split index + position in the split), and unlike a
-    round-robin repartition it needs no sort. A layout with at least as many
-    splits as slots (any large multi-file table) is returned unchanged, so
-    no shuffle is added at scale.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session)
-        return df
-    if splits < slots:
-        return df.repartition(slots, F.monotonically_increasing_id())
-    return df
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _d(s: str) -> F.Column:
@@ -118,11 +79,10 @@ def src_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def src_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice")
     yr = F.year("o_orderdate").cast(T.IntegerType())
-    g = (o.where(yr != 1998)
-          .groupBy(yr.alias("y"))
+    g = (o.groupBy(yr.alias("y"))
           .agg(F.sum(F.col("o_totalprice").cast(T.DecimalType(15, 2))).alias("s")))
     return g.select(
-        (F.col("s") * _d("0.80")).cast(T.DecimalType(15, 2)).alias("revenue_target"),
+        (F.col("s") * _d("0.80")).cast(MONEY_TOTAL).alias("revenue_target"),
         F.make_date(F.col("y"), F.lit(1), F.lit(1)).alias("target_date"),
     )
 
@@ -140,7 +100,7 @@ def src_cash_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.make_date(F.col("y"), F.lit(1), F.lit(1)).alias("date"),
         F.col("p_brand").alias("product"),
         rate.alias("discount_rate"),
-        (sign * F.col("s")).cast(T.DecimalType(15, 2)).alias("cashflow"),
+        (sign * F.col("s")).cast(MONEY_TOTAL).alias("cashflow"),
     )
 
 

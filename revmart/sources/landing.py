@@ -5,8 +5,9 @@ Layout of a landing folder (the re-aimed form of "one workbook, several
 sheets"): a file ``<root>/<name>.<ext>`` is one table named ``clean(name)``;
 a folder ``<root>/<book>/`` holds one file or dataset folder per sheet,
 each landed as ``clean(<book>_<sheet>)``. Formats: csv (header row), parquet,
-json / jsonl. Entries are processed in sorted order; a failure is confined to
-its sheet: it is logged and the rest continues.
+json / jsonl, csv and json also with ``.gz`` or ``.bz2``. The folder may be any
+path that Spark reads. Entries are processed in sorted order; a failure is
+confined to its sheet: it is logged and the rest continues.
 
 Per sheet:
   1. read with Spark (distributed scan; csv types inferred like the
@@ -20,20 +21,22 @@ Per sheet:
      the previous raw data stays), all-null columns only warn,
   5. full refresh: swap the staging table in, so a failed write never
      leaves the raw table empty,
-  6. append an audit row (file, sheet, table, row count from step 4, run
-     mode, timestamp) to ``<database>.ingestion_log``.
+  6. after the last sheet, append one audit row per input (file, sheet,
+     table, row count from step 4, run mode, timestamp) to
+     ``<database>.ingestion_log`` in one write.
 """
 
 from __future__ import annotations
 
 import logging
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revmart.sources.schema import RAW_TABLES
+
 log = logging.getLogger("revmart.landing")
 
 AUDIT_TABLE = "ingestion_log"
@@ -51,7 +54,9 @@ INITIAL_LOAD = "initial_load"
 FULL_REFRESH = "full_refresh"
 SKIPPED_EMPTY = "skipped_empty"
 FAILED = "failed"
+SKIPPED_UNSUPPORTED = "skipped_unsupported"
 
+COMPRESSIONS = (".gz", ".bz2")
 FORMATS = {".csv": "csv", ".parquet": "parquet", ".json": "json", ".jsonl": "json"}
 
 # Characters replaced by '_' in names; characters removed.
@@ -110,49 +115,58 @@ class Sheet:
     sheet_name: str
     table_name: str
     path: str
-    fmt: str
+    fmt: str | None
+
+
+class TableNameClashError(ValueError):
+    pass
+
+
+def _split_name(name: str) -> tuple[str, str | None]:
+    """(stem, format) of a file name; a compression suffix does not count."""
+    stem = name
+    for suffix in COMPRESSIONS:
+        if stem.lower().endswith(suffix):
+            stem = stem[:-len(suffix)]
+            break
+    base, dot, ext = stem.rpartition(".")
+    fmt = FORMATS.get("." + ext.lower()) if dot else None
+    return (base, fmt) if fmt else (stem, None)
 
 
-def _fmt_of(path: str) -> str | None:
-    if os.path.isdir(path):
-        exts = {os.path.splitext(f)[1].lower() for f in os.listdir(path) if not f.startswith(("_", "."))}
-        fmts = {FORMATS[e] for e in exts if e in FORMATS}
-        return fmts.pop() if len(fmts) == 1 else None
-    return FORMATS.get(os.path.splitext(path)[1].lower())
+def _list(spark: SparkSession, path: str) -> list[tuple[str, str, bool]]:
+    """(name, path, is a folder) of the visible entries of a folder, sorted,
+    through Spark's Hadoop file system: any path that Spark reads will do."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = [(st.getPath().getName(), st.getPath().toString(), st.isDirectory()) for st in fs.listStatus(hadoop)]
+    return sorted(e for e in out if not e[0].startswith((".", "_")))
 
 
-def _is_dataset(path: str) -> bool:
-    """A folder written by a distributed writer (part files / _SUCCESS)."""
-    names = os.listdir(path)
-    return "_SUCCESS" in names or any(n.startswith("part-") for n in names)
+def _dataset_format(entries: list[tuple[str, str, bool]]) -> tuple[str | None, bool]:
+    """(format, whether it looks written by Spark) of a folder's files: the
+    format is None unless all its files share one."""
+    fmts = {_split_name(n)[1] for n, _, is_dir in entries if not is_dir}
+    return (fmts.pop() if len(fmts) == 1 else None), any(n.startswith("part-") for n, _, _ in entries)
 
 
-def discover(root: str) -> list[Sheet]:
-    """Sheets under ``root`` in sorted order (names only, no data read)."""
+def discover(spark: SparkSession, root: str) -> list[Sheet]:
+    """Every input under ``root`` in sorted order (names only, no data read).
+    One that can't be landed has ``fmt`` None, so that it can be logged."""
     sheets: list[Sheet] = []
-    for entry in sorted(os.listdir(root)):
-        if entry.startswith((".", "_")):
+    for name, path, is_dir in _list(spark, root):
+        if not is_dir:
+            stem, fmt = _split_name(name)
+            sheets.append(Sheet(name, stem, clean_name(stem), path, fmt))
             continue
-        full = os.path.join(root, entry)
-        stem, ext = os.path.splitext(entry)
-        if os.path.isfile(full) and ext.lower() in FORMATS:
-            sheets.append(Sheet(entry, stem, clean_name(stem), full, FORMATS[ext.lower()]))
-        elif os.path.isdir(full):
-            fmt = _fmt_of(full)
-            if fmt is not None and _is_dataset(full):
-                # a dataset folder (part files) is one table on its own
-                sheets.append(Sheet(entry, entry, clean_name(entry), full, fmt))
-                continue
-            for sub in sorted(os.listdir(full)):
-                if sub.startswith((".", "_")):
-                    continue
-                sp = os.path.join(full, sub)
-                s_stem, s_ext = os.path.splitext(sub)
-                s_fmt = FORMATS.get(s_ext.lower()) if os.path.isfile(sp) else _fmt_of(sp)
-                if s_fmt is None:
-                    continue
-                sheet = s_stem if os.path.isfile(sp) else sub
-                sheets.append(Sheet(entry, sheet, clean_name(f"{entry}_{sheet}"), sp, s_fmt))
+        inner = _list(spark, path)
+        fmt, written = _dataset_format(inner)
+        if written:  # a folder of part files is one table on its own
+            sheets.append(Sheet(name, name, clean_name(name), path, fmt))
+            continue
+        for sub, sub_path, sub_dir in inner:
+            stem, sub_fmt = (sub, _dataset_format(_list(spark, sub_path))[0]) if sub_dir else _split_name(sub)
+            sheets.append(Sheet(name, stem, clean_name(f"{name}_{stem}"), sub_path, sub_fmt))
     return sheets
 
 
@@ -178,13 +192,30 @@ def stage_table(spark: SparkSession, df: DataFrame, database: str, table: str) -
     return staging
 
 
+def recover(spark: SparkSession, database: str, table: str) -> None:
+    """Undo a swap that was cut short: a table set aside comes back if there
+    is no live one, and goes if there is."""
+    full, aside = f"{database}.{table}", f"{database}.{table}__previous"
+    if _table_exists(spark, aside):
+        if _table_exists(spark, full):
+            spark.sql(f"DROP TABLE {aside}")
+        else:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {full}")
+
+
 def swap_in(spark: SparkSession, staging: str, database: str, table: str) -> str:
-    """Replace the live table by the staged one. Returns the run mode."""
-    full = f"{database}.{table}"
-    mode = FULL_REFRESH if _table_exists(spark, full) else INITIAL_LOAD
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    """Replace the live table by the staged one. Returns the run mode. The
+    live table is set aside, not dropped, until the new one is in its place,
+    so that a stop in between loses nothing (see :func:`recover`)."""
+    recover(spark, database, table)
+    full, aside = f"{database}.{table}", f"{database}.{table}__previous"
+    live = _table_exists(spark, full)
+    if live:
+        spark.sql(f"ALTER TABLE {full} RENAME TO {aside}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {full}")
-    return mode
+    if live:
+        spark.sql(f"DROP TABLE {aside}")
+    return FULL_REFRESH if live else INITIAL_LOAD
 
 
 def load_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
@@ -213,38 +244,54 @@ def ensure_audit_table(spark: SparkSession, database: str) -> None:
 
 
 def land(spark: SparkSession, root: str, database: str = "raw",
-         schemas: dict[str, T.StructType] | None = None) -> list[dict]:
-    """Land every sheet under ``root`` into ``database``; returns one result
-    dict per sheet (the rows appended to the audit log, plus warnings)."""
+         schemas: dict[str, T.StructType] | None = None, tables: dict[str, str] | None = None) -> list[dict]:
+    """Land every input under ``root`` into ``database``; returns one result
+    dict per input (the rows appended to the audit log, plus warnings).
+
+    ``schemas`` is keyed by source (``sales``, ``customers`` ...), with
+    ``tables`` giving a source's table name where it is not the usual one, or
+    by table name. Inputs of an unknown kind are logged as skipped; two inputs
+    for one table are an error before anything is written.
+    """
     ensure_audit_table(spark, database)
-    results = []
-    sheets = discover(root)
+    names = dict(RAW_TABLES, **(tables or {}))
+    by_table = {names.get(k, k): v for k, v in (schemas or {}).items()}
+    sheets = discover(spark, root)
     if not sheets:
         log.warning("no source files found in %s", root)
+    seen: dict[str, str] = {}
     for sh in sheets:
-        res = {"file_name": sh.file_name, "sheet_name": sh.sheet_name,
-               "table_name": sh.table_name, "row_count": None, "run_mode": None,
-               "null_columns": (), "error": None}
-        try:
-            df = sanitize_columns(read_sheet(spark, sh, (schemas or {}).get(sh.table_name)))
-            staging = stage_table(spark, df, database, sh.table_name)
-            v = validate(spark.table(staging))
-            res["row_count"] = v.row_count
-            res["null_columns"] = v.null_columns
-            if v.null_columns:
-                log.warning("%s has entirely null columns: %s", sh.table_name, v.null_columns)
-            if v.empty:
-                spark.sql(f"DROP TABLE IF EXISTS {staging}")
-                log.warning("%s is empty; skipped, previous data kept", sh.table_name)
-                res["run_mode"] = SKIPPED_EMPTY
-            else:
-                res["run_mode"] = swap_in(spark, staging, database, sh.table_name)
-                log.info("%s.%s (%d rows) [%s]", database, sh.table_name, v.row_count, res["run_mode"])
-        except Exception as e:  # confined to this sheet, like the reference
-            log.error("failed to land %s/%s: %s", sh.file_name, sh.sheet_name, e)
-            res["run_mode"] = FAILED
-            res["error"] = str(e)
-        _audit(spark, database, [(res["file_name"], res["sheet_name"], res["table_name"],
-                                  res["row_count"], res["run_mode"])])
-        results.append(res)
+        if sh.fmt and seen.setdefault(sh.table_name, sh.path) != sh.path:
+            raise TableNameClashError(f"{seen[sh.table_name]} and {sh.path} would both become table {sh.table_name!r}")
+    results = [_land_sheet(spark, sh, database, by_table.get(sh.table_name)) for sh in sheets]
+    _audit(spark, database, [(r["file_name"], r["sheet_name"], r["table_name"], r["row_count"], r["run_mode"]) for r in results])
     return results
+
+
+def _land_sheet(spark: SparkSession, sh: Sheet, database: str, schema: T.StructType | None) -> dict:
+    res = {"file_name": sh.file_name, "sheet_name": sh.sheet_name,
+           "table_name": sh.table_name, "row_count": None, "run_mode": None,
+           "null_columns": (), "error": None}
+    if sh.fmt is None:
+        log.warning("%s is of no kind that can be landed; skipped", sh.path)
+        return res | {"run_mode": SKIPPED_UNSUPPORTED}
+    try:
+        df = sanitize_columns(read_sheet(spark, sh, schema))
+        staging = stage_table(spark, df, database, sh.table_name)
+        v = validate(spark.table(staging))
+        res["row_count"] = v.row_count
+        res["null_columns"] = v.null_columns
+        if v.null_columns:
+            log.warning("no value at all in columns %s of %s", ", ".join(v.null_columns), sh.table_name)
+        if v.empty:
+            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            log.warning("%s has no rows; what was landed before stays", sh.table_name)
+            res["run_mode"] = SKIPPED_EMPTY
+        else:
+            res["run_mode"] = swap_in(spark, staging, database, sh.table_name)
+            log.info("%s.%s: %d rows, %s", database, sh.table_name, v.row_count, res["run_mode"])
+    except Exception as e:  # an error stays within its input
+        log.error("could not land %s: %s", sh.path, e)
+        res["run_mode"] = FAILED
+        res["error"] = str(e)
+    return res

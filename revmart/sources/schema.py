@@ -31,7 +31,7 @@ CUSTOMERS = T.StructType([
 ])
 
 TARGETS = T.StructType([
-    T.StructField("revenue_target", T.DecimalType(15, 2)),
+    T.StructField("revenue_target", T.DecimalType(38, 2)),
     T.StructField("target_date", T.DateType()),
 ])
 
@@ -39,7 +39,7 @@ CASH_FLOW = T.StructType([
     T.StructField("date", T.DateType()),
     T.StructField("product", T.StringType()),
     T.StructField("discount_rate", T.DecimalType(5, 4)),
-    T.StructField("cashflow", T.DecimalType(15, 2)),
+    T.StructField("cashflow", T.DecimalType(38, 2)),
 ])
 
 EMPLOYEES = T.StructType([

@@ -44,7 +44,8 @@ def test_land_folder(spark):
     _write(f"{root}/notes.txt", "ignored")
     db = _db()
     res = {r["table_name"]: r for r in landing.land(spark, root, db)}
-    assert set(res) == {"sales_data", "book_sheet1", "empty", "collide"}
+    assert set(res) == {"sales_data", "book_sheet1", "empty", "collide", "notes.txt".replace(".", "_")}
+    assert res["notes_txt"]["run_mode"] == landing.SKIPPED_UNSUPPORTED
     assert res["sales_data"]["run_mode"] == landing.INITIAL_LOAD and res["sales_data"]["row_count"] == 2
     assert res["sales_data"]["null_columns"] == ("empty_col",)
     assert res["empty"]["run_mode"] == landing.SKIPPED_EMPTY
@@ -61,11 +62,11 @@ def test_land_folder(spark):
     assert res2["book_sheet1"]["run_mode"] == landing.SKIPPED_EMPTY
     assert spark.table(f"{db}.book_sheet1").count() == 1
     log = spark.table(f"{db}.{landing.AUDIT_TABLE}").collect()
-    assert len(log) == 8
+    assert len(log) == 10
     modes = sorted((r["table_name"], r["run_mode"]) for r in log if r["table_name"] == "sales_data")
     assert modes == [("sales_data", "full_refresh"), ("sales_data", "initial_load")]
     assert all(r["ingested_at"] is not None for r in log)
-    assert sorted(r["id"] for r in log) == list(range(1, 9))
+    assert sorted(r["id"] for r in log) == list(range(1, 11))
 
 
 def test_end_to_end_files_to_views(spark):
@@ -107,7 +108,7 @@ def test_profile_counts_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "a int, b string")
     got = {r["column_name"]: (r["data_type"], r["row_count"], r["null_count"])
            for r in quality.profile(df, "t", "g").collect()}
-    assert got == {"a": ("INTEGER", 3, 1), "b": ("VARCHAR", 3, 2)}
+    assert got == {"a": ("int", 3, 1), "b": ("string", 3, 2)}
     assert quality.preview(df, 2).count() == 2
 
 
@@ -162,3 +163,60 @@ def test_land_json_and_parquet_files(spark):
     assert res["targets"]["run_mode"] == landing.INITIAL_LOAD and res["targets"]["row_count"] == 2
     assert sorted(spark.table(f"{db}.targets").columns) == ["revenue_target", "target_date"]
     assert spark.table(f"{db}.staff_list").columns == ["employee_id", "tenure_(years)"]
+
+
+def test_land_compressed_typed_and_by_uri(spark):
+    import gzip
+    root = tempfile.mkdtemp(prefix="landing-gz-", dir="/tmp")
+    os.makedirs(f"{root}/book")
+    with gzip.open(f"{root}/book/staff.csv.gz", "wt") as f:
+        f.write("employee_id,name,start_date,tenure_(years),department\n007,A,2020-01-01,1.50,X\n")
+    os.makedirs(f"{root}/mixed/sheet")
+    _write(f"{root}/mixed/sheet/a.csv", "a\n1\n")
+    _write(f"{root}/mixed/sheet/b.json", "{}\n")
+    from revmart.sources.schema import SCHEMAS
+    db = _db()
+    res = {r["table_name"]: r for r in landing.land(spark, f"file://{root}", db, schemas=SCHEMAS, tables={"employees": "book_staff"})}
+    assert res["book_staff"]["row_count"] == 1 and res["mixed_sheet"]["run_mode"] == landing.SKIPPED_UNSUPPORTED
+    row = spark.table(f"{db}.book_staff").first()
+    assert row["employee_id"] == "007" and row["start_date"] == dt.date(2020, 1, 1)
+    log = {r["table_name"]: r["run_mode"] for r in spark.table(f"{db}.{landing.AUDIT_TABLE}").collect()}
+    assert log == {"book_staff": landing.INITIAL_LOAD, "mixed_sheet": landing.SKIPPED_UNSUPPORTED}
+
+
+def test_two_inputs_for_one_table_fail_before_any_write(spark):
+    root = tempfile.mkdtemp(prefix="landing-clash-", dir="/tmp")
+    _write(f"{root}/dup.csv", "a\n1\n")
+    _write(f"{root}/dup.json", '{"a": 2}\n')
+    db = _db()
+    with pytest.raises(landing.TableNameClashError, match="dup"):
+        landing.land(spark, root, db)
+    assert not spark.catalog.tableExists(f"{db}.dup")
+
+
+def test_a_stopped_swap_loses_nothing(spark):
+    db = _db()
+    spark.sql(f"CREATE DATABASE {db}")
+    one, two = spark.range(1), spark.range(2)
+    landing.load_table(spark, one, db, "t")
+    landing.stage_table(spark, two, db, "t")
+    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t__previous")  # stopped between the two renames
+    landing.recover(spark, db, "t")
+    assert spark.table(f"{db}.t").count() == 1
+    assert landing.load_table(spark, two, db, "t") == landing.FULL_REFRESH
+    assert spark.table(f"{db}.t").count() == 2
+    assert not spark.catalog.tableExists(f"{db}.t__previous")
+
+
+def test_build_from_a_book_of_sheets(spark):
+    direct = Warehouse.from_testdata(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="book-", dir="/tmp")
+    os.makedirs(f"{root}/book")
+    tables = {}
+    for logical in RAW_TABLES:
+        getattr(direct.sources, logical).coalesce(1).write.parquet(f"{root}/book/{logical}")
+        tables[logical] = f"book_{logical}"
+    db = _db()
+    assert {r["table_name"] for r in landing.land(spark, root, db)} == set(tables.values())
+    w = Warehouse.from_tables(spark, db, tables=tables)
+    assert w["vw_exec_kpi_scorecard"].count() == 7

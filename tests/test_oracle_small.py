@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
-from revmart import oracle
+from tools import oracle
 from revmart.plans.warehouse import Warehouse
 from tests.conftest import SF_SMALL
 from tools.check_oracle import compare
@@ -16,11 +16,12 @@ SQL = E.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
-    assert len(QUERIES) >= 36
+    own = {n for n in QUERIES if n != "pipeline" and not n.startswith("op")}
+    assert own <= set(SQL) <= set(QUERIES)
+    assert len(own) >= 36
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck_small, name):
     r = compare(spark, duck_small, name, QUERIES[name], SQL[name], SF_SMALL, verbose=True)
     assert r["rows"][0] == r["rows"][1], r

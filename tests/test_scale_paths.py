@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import pct, ratio
-from revmart.operators.ntile import add_ntile
+from revmart.operators.ntile import add_ntile, add_ntiles
 from revmart.plans.warehouse import Warehouse
 from revmart.sources import schema as S
 from revmart.sources.raw import Sources
@@ -90,3 +90,67 @@ def test_hot_duplicated_customer_matches_join_then_aggregate(spark):
     got = sorted((r["year"], r["segment"], r["total_revenue"], r["customer_count"])
                  for r in w["vw_exec_segment_summary"].collect())
     assert got == want
+
+
+def test_several_ntiles_in_one_pass(spark):
+    rows = [(None if i % 11 == 0 else f"c{i:04d}", None if i % 7 == 0 else i % 13) for i in range(500)]
+    df = spark.createDataFrame([r for r in rows if r[0]] + [(None, 3)], "id string, m int")
+    for n in (3, 7, 400):
+        few = df.orderBy("id").limit(n)
+        key = [F.col("m").isNull(), F.col("m"), F.col("id").isNull(), F.col("id")]
+        back = [F.col("m").isNotNull(), -F.col("m"), F.col("id").isNull(), F.col("id")]
+        got = sorted(map(repr, map(tuple, add_ntiles(few, 5, {"t": key, "u": back}, 4).collect())))
+        w = [F.col("m").asc_nulls_last(), F.col("id").asc_nulls_last()]
+        v = [F.col("m").desc_nulls_first(), F.col("id").asc_nulls_last()]
+        ref = few.withColumn("t", F.ntile(5).over(Window.orderBy(*w))).withColumn("u", F.ntile(5).over(Window.orderBy(*v)))
+        assert got == sorted(map(repr, map(tuple, ref.collect())))
+
+
+def _sale(order, day, customer, cents):
+    m = D(cents).scaleb(-2)
+    return (order, day, customer, "P1", 1, D("1.00"), D("2.00"), m, D("0.00"), m, D("0.00"), m)
+
+
+def test_rfm_with_a_hot_customer_row(spark):
+    """An id copied over a third of the customers is joined once and spelled
+    out after the join; the sort key is finer than the 13 totals."""
+    sales = [_sale(f"o{i}", dt.date(2020, 1, 1 + i % 28), f"c{i % 40:02d}", 100 + i) for i in range(200)]
+    customers = [(f"c{j:02d}", "SMB", "Peru", None) for j in range(40)] + [("c07", "SMB", "Peru", None)] * 20
+    w = Warehouse(Sources(sales=spark.createDataFrame(sales, S.SALES), customers=spark.createDataFrame(customers, S.CUSTOMERS)),
+                  spark, as_of=dt.date(2021, 1, 1))
+    out = w["vw_customer_rfm"]
+    rows = out.collect()
+    assert len(rows) == 60 and sum(r["customer_id"] == "c07" for r in rows) == 21
+    assert [(-r["rfm_total"], r["customer_id"]) for r in rows] == sorted((-r["rfm_total"], r["customer_id"]) for r in rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join")  # repeated above the join
+
+
+def test_targets_and_cash_flows_of_1e15(spark):
+    big = 10 ** 17  # cents
+    sales = [_sale("o1", dt.date(2020, 1, 1), "A", 10 ** 14), _sale("o2", dt.date(2021, 1, 1), "A", 10 ** 14)]
+    flows = [(dt.date(2020 + t, 1, 1), "P1", D("0.0500"), D((-1 if t == 0 else 1) * big).scaleb(-2)) for t in range(4)]
+    w = Warehouse(Sources(
+        sales=spark.createDataFrame(sales, S.SALES), customers=spark.createDataFrame([("A", "SMB", "Peru", None)], S.CUSTOMERS),
+        targets=spark.createDataFrame([(D(big).scaleb(-2), dt.date(2020, 1, 1))], S.TARGETS),
+        cash_flow=spark.createDataFrame(flows, S.CASH_FLOW)), spark)
+    t = {r["performance_year"]: r for r in w["vw_revenue_actual_vs_target"].collect()}
+    assert t[2020]["targeted_revenue"] == D("1e15") and t[2021]["target_status"] == "No Target"
+    s = w["vw_capex_project_summary"].first()
+    assert s["total_inflows"] == D("3e15") and s["initial_investment"] == D("-1e15")
+    assert w["vw_capex_sensitivity"].count() == 7
+
+
+def test_the_fact_is_read_for_two_roll_ups_only(spark):
+    """Relations over the roll-ups never touch the fact again."""
+    from tests.conftest import SF_SMALL
+    w = Warehouse.from_testdata(spark, SF_SMALL).share_rollups()
+    reads = []
+    from revmart.plans.warehouse import DIMS_MARTS, RELATIONS, STAGING
+    for name, (group, _) in RELATIONS.items():
+        if group != STAGING and name not in ("vw_customer_rfm", "dim_date") and "cap" not in name and "cash" not in name:
+            plan = w[name]._jdf.queryExecution().optimizedPlan().toString()
+            if "l_orderkey" in plan:
+                reads.append(name)
+    assert sorted(reads) == ["mart_product_sales", "vw_product_performance", "vw_product_segment_matrix"]
+    assert DIMS_MARTS
