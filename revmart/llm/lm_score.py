@@ -12,8 +12,8 @@ words with their training counts; these are summed over blocks. A gram's
 probability needs only grams that end in the same two context bytes, a group
 bounded by the alphabet, and the order-1 table of 65,536 counts; so the trie
 is estimated group by group. Each block then gets the values of its own grams
-and words back and scores its documents while they stream past. No model of
-the whole corpus is ever held in one place, and nothing is pruned.
+and words back and scores its documents. No model of the whole corpus is ever
+held in one place, and nothing is pruned.
 
 Beside the score stands a unigram base: words between ASCII white space, A-Z
 lower-cased, and one end token, with add-one smoothing. Words are known by a
@@ -203,45 +203,28 @@ def estimator(order1: np.ndarray):
     return estimate
 
 
-def _score(batches):
-    """Blocks come as their values first, then their documents."""
-    block, values, tables = None, [], None
+SCORES = "in_id string, held_out boolean, n_tokens long, n_known long, log_counts double, score double"
 
-    def look_up():
-        out = []
-        for kind in (GRAM, WORD):
-            key = np.concatenate([np.zeros(0, "int64"), *[k[kinds == kind] for kinds, k, _ in values]])
-            value = np.concatenate([np.zeros(0), *[v[kinds == kind] for kinds, _, v in values]])
-            out.append((pd.Index(key), value))
-        return out
 
-    for batch in batches:
-        rank = batch.column("rank").to_numpy()
-        for b, lo, hi in _runs(batch.column("block").to_numpy()):
-            if b != block:
-                block, values, tables = b, [], None
-            first = lo + int(np.searchsorted(rank[lo:hi], 1))
-            if first > lo:
-                values.append([batch.column(c).slice(lo, first - lo).to_numpy().copy() for c in ("kind", "key", "value")])
-            if first == hi:
-                continue
-            if tables is None:
-                tables, values = look_up(), []
-            (grams, log_p), (words, counts) = tables
-            ids, held = batch.column("in_id"), batch.column("held_out")
-            for at, bodies in _pieces(batch.column("text").slice(first, hi - first)):
-                n = len(bodies)
-                gram, doc = grams_of(bodies)
-                found = grams.get_indexer(gram)
-                if (found < 0).any():
-                    raise RuntimeError("a document is not in the block it was counted in")
-                score = np.bincount(doc, log_p[found], n)
-                hashes, codes, doc = words_of(bodies)
-                c = counts[words.get_indexer(hashes)][codes]
-                yield pa.RecordBatch.from_arrays([
-                    ids.slice(first + at, n), held.slice(first + at, n), pa.array(np.bincount(doc, minlength=n)),
-                    pa.array(np.bincount(doc, c > 0, n).astype("int64")), pa.array(np.bincount(doc, np.log10(c + 1), n)), pa.array(score)],
-                    names=["in_id", "held_out", "n_tokens", "n_known", "log_counts", "score"])
+def _score(docs: pa.Table, values: pa.Table) -> pa.Table:
+    """Scores of the documents of one block, from the values of its grams and
+    words."""
+    kinds, keys, found = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
+    grams, log_p = pd.Index(keys[kinds == GRAM]), found[kinds == GRAM]
+    words, counts = pd.Index(keys[kinds == WORD]), found[kinds == WORD]
+    out = []
+    for batch in docs.to_batches():
+        for at, bodies in _pieces(batch.column("text")):
+            n = len(bodies)
+            gram, doc = grams_of(bodies)
+            score = np.bincount(doc, log_p[grams.get_indexer(gram)], n)
+            hashes, codes, doc = words_of(bodies)
+            c = counts[words.get_indexer(hashes)][codes]
+            out.append(pa.RecordBatch.from_arrays([
+                batch.column("in_id").slice(at, n), batch.column("held_out").slice(at, n), pa.array(np.bincount(doc, minlength=n)),
+                pa.array(np.bincount(doc, c > 0, n).astype("int64")), pa.array(np.bincount(doc, np.log10(c + 1), n)), pa.array(score)],
+                names=["in_id", "held_out", "n_tokens", "n_known", "log_counts", "score"]))
+    return pa.Table.from_batches(out)
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out=None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -271,13 +254,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .applyInPandas(estimator(order1), "key long, value double")
     slices = grams.join(estimated, "key").select(F.explode("blocks").alias("block"), "kind", "key", "value") \
         .union(words.select(F.explode("blocks").alias("block"), "kind", "key", F.col("n").cast("double").alias("value")))
-    # No nulls in the numbers: pandas would turn 64-bit keys into floats.
-    both = slices.select("block", F.lit(0).alias("rank"), "kind", "key", "value", F.lit(None).cast("string").alias("in_id"),
-                         F.lit(False).alias("held_out"), F.lit("").alias("text")) \
-        .unionByName(base.select("block", F.lit(1).alias("rank"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("key"),
-                                 F.lit(0.0).alias("value"), "in_id", "held_out", "text"))
-    out = both.repartition(n_blocks, "block").sortWithinPartitions("block", "rank") \
-        .mapInArrow(_score, "in_id string, held_out boolean, n_tokens long, n_known long, log_counts double, score double")
+    out = base.select("block", "in_id", "held_out", "text").groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(_score, SCORES)
     n, v = total["n"], total["v"]
     return out.select(F.col("in_id").cast(docs.schema[id_col].dataType).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                       (F.col("log_counts") - F.col("n_tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"), "score")
