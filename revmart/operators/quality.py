@@ -113,6 +113,15 @@ def relation_profile(warehouse, names) -> DataFrame:
     return _union(parts)
 
 
+def landing_validation(sources) -> DataFrame:
+    """What landing finds in each source: per cleaned column name the row
+    count and whether the column has no value at all."""
+    from revmart.sources.landing import sanitize_columns
+    parts = [profile(sanitize_columns(getattr(sources, n)), n, "source") for n in sources.NAMES]
+    return _union(parts).select(F.col("relation").alias("source"), "column_name", "row_count",
+                                ((F.col("row_count") > 0) & (F.col("null_count") == F.col("row_count"))).alias("all_null"))
+
+
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows of a relation (the inspector's preview)."""
     return df.limit(rows)
