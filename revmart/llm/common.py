@@ -3,6 +3,7 @@ folder, bounded bit filters for broadcast, and connected components."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -155,6 +156,16 @@ def vectorised(return_type: str):
     return wrap
 
 
+def limit_batches(spark: SparkSession, rows: int = 2_000, size: int = 8 << 20) -> None:
+    """Lowers the session's limits on what one Arrow batch to a Python worker
+    holds (they are never raised): batches of long texts are held several
+    times over, on both sides."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = re.fullmatch(r"(\d+)b?", spark.conf.get(key))
+        if not now or not 0 < int(now[1]) <= most:
+            spark.conf.set(key, str(most))
+
+
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker (functions travel
     by value, so their module's globals don't)."""

@@ -37,14 +37,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_bucket, scratch_path, table, text_of
+from .common import crc_bucket, limit_batches, scratch_path, table, text_of
 
 QUERY_NAME = "op8_lm_score"
 ORDER = 5
 PAD, END = 0xFE, 0xFF   # bytes that UTF-8 never uses
 SYMBOLS = 255           # every byte but PAD
 BLOCK_BYTES = 16_000_000
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 END_WORD = b"\n"        # never a word
 FOLDS, HELD_OUT = 7, 2
 GRAM, WORD = 0, 1
@@ -231,6 +231,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score`` per row. ``held_out``: boolean column of rows not learnt from."""
     spark = docs.sparkSession
+    limit_batches(spark)
     held = crc_bucket(docs[id_col], FOLDS) == HELD_OUT if held_out is None else F.coalesce(held_out, F.lit(False))
     base = docs.select(docs[id_col].cast("string").alias("in_id"), held.alias("held_out"), text_of(docs[text_col]).alias("text"))
     size = base.agg(F.sum(F.octet_length("text") + 64).alias("b")).first()["b"] or 0
