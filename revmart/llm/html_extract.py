@@ -42,6 +42,7 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 RAW_TAGS = frozenset("script style textarea title xmp noembed noframes".split())
 NEVER_TAGS = frozenset("""nav header footer aside form head noscript template iframe object svg select button dialog menu""".split())
 LANDMARKS = frozenset("article main".split())
+WHOLE_TAGS = frozenset("html body main".split())  # their classes speak of the page ("has-sidebar")
 # Words of class, id and role attributes that mark what is not the article.
 NEVER_WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner
 nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related recommended share sharing social
@@ -153,7 +154,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str, int]]]:
                     del stack[k:]
                     break
         words, ruled_out = _marks(token) if "=" in token else ("", False)
-        label = tag + ("." + words if words else "") + ("!" if ruled_out or tag in NEVER_TAGS else "")
+        label = tag + ("." + words if words else "") + ("!" if tag in NEVER_TAGS or ruled_out and tag not in WHOLE_TAGS else "")
         node = Node(tag, label)
         stack[-1].kids.append(node)
         if not token.endswith("/>"):
@@ -258,7 +259,9 @@ def slot_labels(nodes: list) -> list[str]:
     out: list[str] = []
     for label, parent, _ in nodes:
         above = out[parent] if parent >= 0 else "open"
-        if label.endswith("!") or above == "never":
+        if label.split(".")[0] == "main":
+            out.append("article")
+        elif label.endswith("!") or above == "never":
             out.append("never")
         elif above == "article" or re.split(r"[.!]", label)[0] in LANDMARKS or ".main" in label:
             out.append("article")

@@ -51,6 +51,11 @@ def test_template_without_landmark(spark):
     assert run(spark, rows) == sorted(((k, f"Story {k} of many\nIt ends {k}") for k in range(8)), key=repr)
 
 
+def test_classes_of_the_whole_page_rule_nothing_out(spark):
+    html = "<body class='has-sidebar'><div class='header-wrap'><main class='with-menu'><p>Text</p><div class='menu'>no</div></main></div></body>"
+    assert run(spark, [(1, "http://w.example.org/", html)]) == [(1, "Text")]
+
+
 def test_copies_are_no_template(spark):
     html = "<body><div><p>The same story</p></div></body>"
     assert run(spark, [(k, "http://copy.example.org/", html) for k in range(9)]) == [(k, "The same story") for k in range(9)]
