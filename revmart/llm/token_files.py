@@ -46,7 +46,7 @@ MAGIC = b"WVM1"
 HEAD = ">4sqqqIBI"       # magic, partition, tokens before, tokens, documents, planes, blocks a plane
 BLOCK = 1 << 16                         # bytes of a plane that are compressed together
 SUPER = 64                              # bytes between two entries of a rank directory
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
 class WaveletMatrix:
@@ -137,12 +137,13 @@ class WaveletMatrix:
     def decode(self) -> np.ndarray:
         """All values, bottom up."""
         planes = len(self.zeros)
-        low = np.zeros(self.n, "uint32")
+        kind = np.uint16 if planes <= 16 else np.uint32
+        low = np.zeros(self.n, kind)
         for k in range(planes - 1, -1, -1):
             ones = np.unpackbits(self._plane(k, 0, -(-self.n // 8)), count=self.n, bitorder="little").view(bool)
             here = np.empty_like(low)
             here[~ones] = low[:self.zeros[k]]
-            here[ones] = low[self.zeros[k]:] | np.uint32(1 << (planes - 1 - k))
+            here[ones] = low[self.zeros[k]:] | kind(1 << (planes - 1 - k))
             low = here
         return low
 
@@ -219,49 +220,63 @@ def load_tokenizer(path: str):
     return cache[path]
 
 
-def tokenise(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 16-bit integers.
-
-    The tokenizer splits at white space and never looks across it, so words
-    are encoded once and remembered; the model is asked directly for plain
-    words, the whole tokenizer for all others.
-    """
-    tk, cache = load_tokenizer(path), worker_cache()
-    known = cache.setdefault(("words", path), {})
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    pack = lambda ids: array("H", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u2").tobytes()
-    pieces = cache.setdefault(("pieces", path), {})
-    if len(pieces) > CACHE_WORDS:
-        pieces.clear()
-    part, spelled = tk.model.tokenize, cache.setdefault("letters", byte_letters())
-
-    def ids_of(piece):
-        got = pieces.get(piece)
+class WordIds(dict):
+    """Ids of words, worked out when first asked for, as little-endian
+    unsigned 16-bit integers. The model is asked directly for plain words,
+    the whole tokenizer for all others."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.model, self.letters, self.pieces = tokenizer, tokenizer.model.tokenize, byte_letters(), {}
+
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        out = array("H", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def of_piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
         if got is None:
-            got = pieces[piece] = pack([t.id for t in part(piece)]) if piece else b""
+            got = self.pieces[piece] = self.pack([t.id for t in self.model(piece)])
         return got
 
-    # Separators that Python splits at and the tokenizer may not.
-    odd = [any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-    lists = [[t] if o else t.split() for t, o in zip(texts, odd)]
-    others = []
-    for words in lists:
-        for w in set(words).difference(known):
-            m = PLAIN.fullmatch(w)
-            if m:
-                letters, tail = m.groups()
-                low = letters.lower()
-                known[w] = ids_of(low if low.isascii() else low.translate(spelled)) + ids_of(tail)
-            else:
-                known[w] = b""
-                others.append(w)
-    for w, e in zip(others, tk.encode_batch(others, add_special_tokens=False)):
-        known[w] = pack(e.ids)
-    out = [b"".join(map(known.__getitem__, words)) for words in lists]
-    for words, o in zip(lists, odd):
-        if o:
-            known.pop(words[0], None)
+    def __missing__(self, word: str) -> bytes:
+        m = PLAIN.fullmatch(word)
+        if m:
+            low, tail = m[1].lower(), m[2]
+            got = self.of_piece(low if low.isascii() else low.translate(self.letters)) if low else b""
+            if tail:
+                got += self.of_piece(tail)
+        else:
+            got = self.whole(word)
+        self[word] = got
+        return got
+
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def trim(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces.clear()
+
+
+def tokenise(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 16-bit integers. The
+    tokenizer splits at white space and never looks across it, so words are
+    encoded once and remembered for a while."""
+    cache = worker_cache()
+    if ("words", path) not in cache:
+        cache["words", path] = WordIds(load_tokenizer(path))
+    words = cache["words", path]
+    words.trim()
+    ids_of, out = words.__getitem__, []
+    for t in texts:
+        # Separators that Python splits at and the tokenizer may not.
+        odd = any(c in t for c in "\x1c\x1d\x1e\x1f")
+        out.append(words.whole(t) if odd else b"".join(map(ids_of, t.split())))
     return out
 
 
