@@ -1,14 +1,18 @@
 """Benchmark decontamination with a BM25 index and block-max WAND.
 
-The test items form an inverted index: per term a posting list ordered by
-item, cut into blocks that carry their largest impact. Impacts are BM25
-weights divided by the item's score against itself, so one threshold means
-the same share of every item. Every passage of every document (overlapping
-windows of words) is a query. Passages whose block maxima can't add up to the
-threshold in any block fall out in bulk (one grouped sum over the term by
-block matrix); the rest run block-max WAND, which returns every item at or
-above the threshold. A hit counts when the passage also holds enough of the
-item's question and of its answer (its last sentence) as word n-grams.
+The test items are cut into even segments, none longer than the overlap of
+two passages, so every copied segment stands whole in some passage however
+long its item is; most items are one segment. The segments form an inverted
+index: per term a posting list ordered by segment, cut into blocks that carry
+their largest impact. Impacts are BM25 weights divided by the segment's score
+against itself, so one threshold means the same share of every segment. Every
+passage of every document (overlapping windows of words) is a query. Passages
+whose block maxima can't add up to the threshold in any block fall out in bulk
+(one grouped sum over the term by block matrix); the rest run block-max WAND,
+which returns every segment at or above the threshold, and the segment's item
+is a candidate. A candidate counts when the passage, widened by the length of
+the whole item on both sides, also holds enough of the item's question and of
+its answer (its last sentence) as word n-grams.
 
 The index is built for ``ITEMS_PER_PASS`` items at a time, each with at most
 ``MAX_ITEM_WORDS`` indexed positions held once, and the documents are scanned
@@ -27,7 +31,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from itertools import islice, repeat
+from itertools import groupby, islice, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,9 +42,10 @@ from .common import table, text_of, vectorised
 
 QUERY_NAME = "op5_decontaminate"
 WINDOW, STRIDE = 128, 64
+SEGMENT = WINDOW - STRIDE  # words; a run of so many lies whole in some window
 THRESHOLD = 0.5
 ITEMS_PER_PASS = 1024
-BLOCK = 4             # items a block
+BLOCK = 4             # segments a block
 K1, B = 1.2, 0.75
 NGRAM = 3
 QUESTION_SHARE, ANSWER_SHARE = 0.6, 0.5
@@ -65,16 +70,24 @@ def _grams(words, n):
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def segments(words: list[str]) -> list[list[str]]:
+    """The words in runs of nearly the same length, at most ``SEGMENT``."""
+    n = max(1, -(-len(words) // SEGMENT))
+    return [words[k * len(words) // n:(k + 1) * len(words) // n] for k in range(n)]
+
+
 class ItemIndex:
-    """Inverted index of some items, with block maxima."""
+    """Inverted index of the segments of some items, with block maxima;
+    ``owner`` is the item of each segment."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
-        bags = [Counter(q + a) for q, a in self.parts]
+        cut = [(i, Counter(s)) for i, (q, a) in enumerate(self.parts) for s in segments(q + a)]
+        self.owner, bags = [i for i, _ in cut], [bag for _, bag in cut]
         df = Counter(t for bag in bags for t in bag)
         self.vocab = {t: k for k, t in enumerate(sorted(df))}
-        n, mean = len(items), sum(sum(b.values()) for b in bags) / max(1, len(items)) or 1
+        n, mean = len(bags), sum(sum(b.values()) for b in bags) / max(1, len(bags)) or 1
         idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
         self.postings: list[list[tuple[int, float]]] = [[] for _ in df]
         for i, bag in enumerate(bags):
@@ -83,17 +96,17 @@ class ItemIndex:
             total = sum(impact.values())
             for t, w in impact.items():
                 self.postings[self.vocab[t]].append((i, w / total))
-        self.block_max = np.zeros((len(df), -(-len(items) // BLOCK)), "float32")
+        self.block_max = np.zeros((len(df), -(-len(bags) // BLOCK)), "float32")
         for t, posting in enumerate(self.postings):
             for i, w in posting:
                 self.block_max[t, i // BLOCK] = max(self.block_max[t, i // BLOCK], w * (1 + 1e-6))
-        self.term_max = self.block_max.max(axis=1, initial=0) if len(items) else np.zeros(0)
+        self.term_max = self.block_max.max(axis=1, initial=0) if bags else np.zeros(0)
 
     def search(self, terms, threshold: float, blocks=None) -> list[tuple[int, float]]:
-        """Block-max WAND: all items whose score for the distinct ``terms`` is
-        at least ``threshold``; with ``blocks``, only items of those blocks."""
+        """Block-max WAND: all segments whose score for the distinct ``terms`` is
+        at least ``threshold``; with ``blocks``, only those of these blocks."""
         if blocks is None:
-            return self._walk(terms, threshold, 0, len(self.ids))
+            return self._walk(terms, threshold, 0, len(self.owner))
         return [x for b in blocks for x in self._walk(terms, threshold, b * BLOCK, (b + 1) * BLOCK)]
 
     def _walk(self, terms, threshold: float, begin: int, end: int) -> list[tuple[int, float]]:
@@ -118,7 +131,7 @@ class ItemIndex:
                 pivot += 1
             block = item // BLOCK
             if sum(self.block_max[c[2], block] for c in cursors[:pivot + 1]) < threshold:
-                # No item of this block before the next cursor can reach it.
+                # No segment of this block before the next cursor can reach it.
                 to = (block + 1) * BLOCK
                 if pivot + 1 < len(cursors):
                     to = min(to, cursors[pivot + 1][0])
@@ -208,22 +221,21 @@ def matcher(index: ItemIndex, threshold: float, question_share: float, answer_sh
             for t in values[lo:hi]:
                 w = words_of(t)
                 terms.append(np.fromiter(map(get, w, repeat(-1)), "int64", len(w)))
-            cache: dict[int, list[str]] = {}
-            for d, window, distinct, blocks in candidate_windows(index, terms, threshold):
-                hits = index.search(distinct.tolist(), threshold, blocks)
-                if not hits:
-                    continue
-                if d not in cache:
-                    cache = {d: words_of(values[lo + d])}
-                for item, score in hits:
+            for d, of_doc in groupby(candidate_windows(index, terms, threshold), key=lambda c: c[0]):
+                scores: dict[int, dict[int, float]] = {}  # by item and window, of its best segment
+                for _, window, distinct, blocks in of_doc:
+                    for segment, score in index.search(distinct.tolist(), threshold, blocks):
+                        at = scores.setdefault(index.owner[segment], {})
+                        at[window] = max(score, at.get(window, 0.0))
+                words = words_of(values[lo + d]) if scores else []
+                for item, at in scores.items():
                     reach = sum(map(len, index.parts[item]))
-                    begin = max(0, window * STRIDE - reach)
-                    passage = cache[d][begin:window * STRIDE + WINDOW + reach]
-                    q, a = index.verify(item, passage)
-                    if q >= question_share and a >= answer_share:
-                        best = out[lo + d].get(item)
-                        if best is None or score > best["score"]:
-                            out[lo + d][item] = {"item_id": index.ids[item], "score": float(score), "question_overlap": q, "answer_overlap": a, "word_at": window * STRIDE}
+                    for window in sorted(at, key=lambda w: (-at[w], w)):  # the best window that holds counts
+                        begin = max(0, window * STRIDE - reach)
+                        q, a = index.verify(item, words[begin:window * STRIDE + WINDOW + reach])
+                        if q >= question_share and a >= answer_share:
+                            out[lo + d][item] = {"item_id": index.ids[item], "score": float(at[window]), "question_overlap": q, "answer_overlap": a, "word_at": window * STRIDE}
+                            break
             lo = hi
         return pd.Series([list(x.values()) for x in out], dtype=object)
     return match

@@ -27,6 +27,16 @@ def test_planted_items_are_found(spark):
     assert kept.columns == docs_table(spark, []).columns
 
 
+def test_copies_of_long_items_are_found(spark):
+    """Exact copies of items of 65 to 2,000 words, at several offsets to the windows."""
+    long = [(n, prose(5000 + n, n - 9) + ". " + prose(6000 + n, 9) + ".") for n in (65, 129, 300, 400, 600, 1000, 2000)]
+    rows = [(n * 100 + at, prose(7000 + n + at, 100 + at) + " " + t + " " + prose(8000 + n + at, 150)) for n, t in long for at in range(0, 64, 9)]
+    rows += [(n * 100 + 99, prose(9000 + n, 3 * n)) for n, _ in long] + [(n * 100 + 98, " ".join(t.split()[:n // 3])) for n, t in long]
+    got = op.contaminated(docs_table(spark, rows), items(spark, long + BENCH)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted((i, i // 100) for i, _ in rows if i % 100 < 90)
+    assert all(r["question_overlap"] == r["answer_overlap"] == 1 and r["score"] > 0.999 for r in got)
+
+
 def test_passes_of_items_agree(spark):
     rows = [(k, prose(k, 100) + " " + item(k)) for k in range(20)]
     one = op.contaminated(docs_table(spark, rows), items(spark, BENCH))
