@@ -5,11 +5,12 @@ Every page becomes a tree of its block elements; runs of equal leaf siblings
 few. The most frequent tree of a host is its wrapper; every other tree of the
 host is aligned with it by simple tree matching. Per aligned slot the host's
 pages are summed up: how many fill it, whether its text is constant, how much
-of it is link text. Slots become template or content: inside an article
-landmark everything is content but parts marked as menus, adverts, comments
-and the like; on hosts without a landmark, constant slots and link lists are
-template and varying text is content. The verdicts go back to the pages, whose
-content blocks are written out in order.
+of it is link text. Constant slots and parts marked as menus, adverts, comments
+and the like are template wherever they stand. Of the varying rest, what lies
+in an article or main element is content and what lies outside is not, unless
+the text outside outweighs the landmarks by far; then it is content as well
+(link lists are not), and several small articles beside it are teasers. The
+verdicts go back to the pages, whose content blocks are written out in order.
 
 Trees, alignments and sums are grouped by (host, tree), with partial sums
 before each shuffle, so a host with a third of all pages is spread like any
@@ -57,6 +58,7 @@ TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NODE = "struct<slot:int,chars:long,links:long,digest:long>"
 MIN_PAGES, CONSTANT_SHARE, LINK_SHARE = 4, 0.8, 0.5
+OUTWEIGHS = 4  # times the varying text of the landmarks that text outside must have to count
 
 
 class Node:
@@ -270,6 +272,17 @@ def slot_labels(nodes: list) -> list[str]:
     return out
 
 
+def slot_regions(nodes: list) -> list[int]:
+    """Per node: the number of the outermost article it lies in, 0 elsewhere
+    below another landmark, -1 outside of landmarks."""
+    out: list[int] = []
+    for k, ((label, parent, _), kind) in enumerate(zip(nodes, slot_labels(nodes))):
+        above = out[parent] if parent >= 0 else -1
+        article = re.split(r"[.!]", label)[0] == "article"
+        out.append(above if above > 0 else k if article and kind == "article" else 0 if kind == "article" else -1)
+    return out
+
+
 @vectorised(f"struct<tree:string,nodes:array<{NODE}>>")
 def _read(pages: pd.Series) -> pd.DataFrame:
     trees, nodes = [], []
@@ -286,13 +299,13 @@ def _read(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"tree": trees, "nodes": nodes})
 
 
-@vectorised("array<struct<slot:int,partner:int,label:string>>")
+@vectorised("array<struct<slot:int,partner:int,label:string,region:int>>")
 def _align(tree: pd.Series, wrapper: pd.Series) -> pd.Series:
     out = []
     for t, w in zip(tree, wrapper):
         nodes, base = read_skeleton(t), read_skeleton(w)
-        labels = slot_labels(nodes)
-        out.append([{"slot": k, "partner": p, "label": labels[k]} for k, p in enumerate(simple_tree_match(nodes, base))])
+        labels, regions = slot_labels(nodes), slot_regions(nodes)
+        out.append([{"slot": k, "partner": p, "label": labels[k], "region": regions[k]} for k, p in enumerate(simple_tree_match(nodes, base))])
     return pd.Series(out, dtype=object)
 
 
@@ -324,7 +337,7 @@ def content_slots(pages: DataFrame) -> DataFrame:
     trees = per_tree.groupBy("host", "tree_id", "tree").agg(F.max("pages").alias("pages"))
     wrappers = trees.groupBy("host").agg(F.max_by("tree", F.struct("pages", "tree_id")).alias("wrapper"))
     aligned = trees.join(wrappers, "host").select("host", "tree_id", F.explode(_align("tree", "wrapper")).alias("a")) \
-        .select("host", "tree_id", "a.slot", "a.partner", "a.label")
+        .select("host", "tree_id", "a.slot", "a.partner", "a.label", "a.region")
     aligned = checkpointed(aligned)
     filled = aligned.join(per_tree.drop("tree"), ["host", "tree_id", "slot"])
     own = F.when(F.col("partner") < 0, F.col("tree_id"))  # unmatched slots stay apart, tree by tree
@@ -335,13 +348,24 @@ def content_slots(pages: DataFrame) -> DataFrame:
         F.min("low").alias("low"), F.max("high").alias("high"))
     constant = (F.col("n") >= MIN_PAGES) & ((F.col("low") == F.col("high")) | (F.col("same") >= CONSTANT_SHARE * F.col("n")))
     menu = F.col("links") > LINK_SHARE * F.col("chars")
-    verdicts = sums.select("host", "own", "at", (~(constant | menu)).alias("varies"))
-    has_article = F.max((F.col("label") == "article").cast("int"))
-    landmarks = filled.groupBy("host", "tree_id").agg(has_article.alias("landmark"))
-    joined = slots.select("host", "tree_id", "slot", "label", F.coalesce("own", F.lit(0)).alias("own"), "at") \
-        .join(verdicts, ["host", "own", "at"]).join(landmarks, ["host", "tree_id"])
-    content = F.when(F.col("landmark") == 1, F.col("label") == "article").otherwise((F.col("label") == "open") & F.col("varies"))
-    return joined.where(content).groupBy("host", "tree_id").agg(F.collect_set("slot").alias("slots"))
+    verdicts = sums.select("host", "own", "at", (~constant).alias("varies"), menu.alias("menu"))
+    judged = slots.select("host", "tree_id", "slot", "label", "region", "chars", F.coalesce("own", F.lit(0)).alias("own"), "at") \
+        .join(verdicts, ["host", "own", "at"]).where((F.col("label") != "never") & F.col("varies"))
+    judged = judged.select("host", "tree_id", "slot", "region", "menu", "chars")
+    # Varying text of each region of a tree, then the largest article against what lies outside of it.
+    weight = F.sum(F.when(F.col("menu"), 0).otherwise(F.col("chars")))
+    regions = judged.groupBy("host", "tree_id", "region").agg(weight.alias("weight"), F.collect_list(F.struct("slot", "menu")).alias("of"))
+    of = lambda c: F.coalesce(F.max(F.when(c, F.col("weight"))), F.lit(0))
+    trees = regions.groupBy("host", "tree_id").agg(
+        of(F.col("region") > 0).alias("article"), of(F.col("region") == 0).alias("main"), of(F.col("region") < 0).alias("outside"),
+        F.count_if(F.col("region") > 0).alias("articles"), F.collect_list(F.struct("region", "of")).alias("regions"))
+    outside = F.col("outside") > OUTWEIGHS * F.greatest("article", "main")
+    teasers = (F.col("articles") > 1) & (F.greatest("main", "outside") > OUTWEIGHS * F.col("article"))
+    found = trees.select("host", "tree_id", outside.alias("outside"), teasers.alias("teasers"), F.explode("regions").alias("r")) \
+        .select("*", F.explode("r.of").alias("s"))
+    region = F.col("r.region")
+    content = F.when(region > 0, ~F.col("teasers")).when(region < 0, F.col("outside") & ~F.col("s.menu")).otherwise(F.lit(True))
+    return found.where(content).groupBy("host", "tree_id").agg(F.collect_set("s.slot").alias("slots"))
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:

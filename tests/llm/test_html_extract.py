@@ -51,6 +51,35 @@ def test_template_without_landmark(spark):
     assert run(spark, rows) == sorted(((k, f"Story {k} of many\nIt ends {k}") for k in range(8)), key=repr)
 
 
+def test_constant_blocks_inside_landmarks_are_template(spark):
+    """What is the same on all pages of a host goes inside article and main
+    too; hosts with few pages have nothing but the landmark to go by."""
+    art = "<body><article><h1>Title {k}</h1><div class='x'><p>Get our letter every week</p></div><p>Story {k}</p></article><div>outside {k}</div></body>"
+    main = "<body><main><div class='top'>Welcome to the site</div><h2>Title {k}</h2><div class='b'><p>Story {k}</p></div><div class='end'>All rights reserved</div></main></body>"
+    rows = [(k, "http://a.example.org/", art.replace("{k}", str(k))) for k in range(8)]
+    rows += [(k + 100, "http://m.example.org/", main.replace("{k}", str(k))) for k in range(8)]
+    rows += [(k + 200, "http://few.example.org/", art.replace("{k}", str(k))) for k in range(2)]
+    want = [(k, f"Title {k}\nStory {k}") for k in range(8)] + [(k + 100, f"Title {k}\nStory {k}") for k in range(8)]
+    want += [(k + 200, f"Title {k}\nGet our letter every week\nStory {k}") for k in range(2)]
+    assert run(spark, rows) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("around", ["div", "main"])
+def test_teaser_articles_beside_a_story(spark, around):
+    """A story in a div is found although other parts of the page are articles."""
+    story = " ".join(["A long story about {k} that goes on and on."] * 12)
+    teaser = "<article class='t{j}'><h3><a href='x'>Next {k} {j}</a></h3><p>Short {j} of {k}</p></article>"
+    html = f"<body><{around}><div class='s'><h1>Title {{k}}</h1><p>{story}</p></div>" + "".join(teaser.replace("{j}", j) for j in "abc") + f"</{around}></body>"
+    rows = [(k, "http://t.example.org/", html.replace("{k}", str(k))) for k in range(8)]
+    assert run(spark, rows) == sorted(((k, f"Title {k}\n" + story.replace("{k}", str(k))) for k in range(8)), key=repr)
+
+
+def test_a_list_of_articles_stays(spark):
+    html = "<body><div class='top'>Latest {k}</div>" + "".join(f"<article class='p{j}'><h2><a href='x'>Post {j} {{k}}</a></h2><p>Text {j} of page {{k}}</p></article>" for j in "abc") + "</body>"
+    rows = [(k, "http://l.example.org/", html.replace("{k}", str(k))) for k in range(8)]
+    assert run(spark, rows) == sorted(((k, "\n".join(f"Post {j} {k}\nText {j} of page {k}" for j in "abc")) for k in range(8)), key=repr)
+
+
 def test_classes_of_the_whole_page_rule_nothing_out(spark):
     html = "<body class='has-sidebar'><div class='header-wrap'><main class='with-menu'><p>Text</p><div class='menu'>no</div></main></div></body>"
     assert run(spark, [(1, "http://w.example.org/", html)]) == [(1, "Text")]
