@@ -14,10 +14,15 @@ is a candidate. A candidate counts when the passage, widened by the length of
 the whole item on both sides, also holds enough of the item's question and of
 its answer (its last sentence) as word n-grams.
 
-The index is built for ``ITEMS_PER_PASS`` items at a time, each with at most
-``MAX_ITEM_WORDS`` indexed positions held once, and the documents are scanned
-once per such block of items; so what is sent to executors is bounded and the
-number of items is not. Documents are never shuffled.
+The items are cut into written blocks of at most ``ITEMS_PER_PASS`` items,
+``WORDS_PER_PASS`` words and ``CHARS_PER_PASS`` characters (a longer item is a
+block of its own), and the term by block matrix has about ``CELLS`` cells at
+most. How many segments hold a term and how long they are on average is summed
+up over all blocks, so scores don't depend on the cut. The driver holds one
+block at a time; with several blocks each is a job of its own that scans the
+documents once and writes what it found. ``contaminated`` never shuffles
+documents; ``clean`` with several blocks joins them with the hashes of the
+texts that matched, which Spark broadcasts while they are few.
 
 Defined cases: null and empty texts have no passages and never match; an item
 without words matches nothing; an item of one sentence is all question; ties
@@ -31,20 +36,21 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from itertools import groupby, islice, repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_of, vectorised
+from .common import scratch_path, table, text_of, vectorised
 
 QUERY_NAME = "op5_decontaminate"
 WINDOW, STRIDE = 128, 64
 SEGMENT = WINDOW - STRIDE  # words; a run of so many lies whole in some window
 THRESHOLD = 0.5
-ITEMS_PER_PASS = 1024
+ITEMS_PER_PASS, WORDS_PER_PASS, CHARS_PER_PASS = 1024, 1 << 16, 1 << 22
+CELLS = 1 << 24
 BLOCK = 4             # segments a block
 K1, B = 1.2, 0.75
 NGRAM = 3
@@ -78,28 +84,32 @@ def segments(words: list[str]) -> list[list[str]]:
 
 class ItemIndex:
     """Inverted index of the segments of some items, with block maxima;
-    ``owner`` is the item of each segment."""
+    ``owner`` is the item of each segment. ``df``, ``n`` and ``mean`` (segments
+    that hold a term, segments, their mean length) are those of ``items``
+    unless given."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], df: dict[str, int] | None = None, n: int | None = None, mean: float | None = None):
         self.ids = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
         cut = [(i, Counter(s)) for i, (q, a) in enumerate(self.parts) for s in segments(q + a)]
         self.owner, bags = [i for i, _ in cut], [bag for _, bag in cut]
-        df = Counter(t for bag in bags for t in bag)
-        self.vocab = {t: k for k, t in enumerate(sorted(df))}
-        n, mean = len(bags), sum(sum(b.values()) for b in bags) / max(1, len(bags)) or 1
-        idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
-        self.postings: list[list[tuple[int, float]]] = [[] for _ in df]
+        own = Counter(t for bag in bags for t in bag)
+        self.vocab = {t: k for k, t in enumerate(sorted(own))}
+        df, n = df or own, n or len(bags)
+        mean = mean or sum(sum(b.values()) for b in bags) / max(1, len(bags)) or 1
+        idf = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) for t in own}
+        self.block = max(BLOCK, -(-len(bags) * len(own) // CELLS))
+        self.postings: list[list[tuple[int, float]]] = [[] for _ in own]
         for i, bag in enumerate(bags):
             norm = K1 * (1 - B + B * sum(bag.values()) / mean)
             impact = {t: idf[t] * c * (K1 + 1) / (c + norm) for t, c in bag.items()}
             total = sum(impact.values())
             for t, w in impact.items():
                 self.postings[self.vocab[t]].append((i, w / total))
-        self.block_max = np.zeros((len(df), -(-len(bags) // BLOCK)), "float32")
+        self.block_max = np.zeros((len(own), -(-len(bags) // self.block)), "float32")
         for t, posting in enumerate(self.postings):
             for i, w in posting:
-                self.block_max[t, i // BLOCK] = max(self.block_max[t, i // BLOCK], w * (1 + 1e-6))
+                self.block_max[t, i // self.block] = max(self.block_max[t, i // self.block], w * (1 + 1e-6))
         self.term_max = self.block_max.max(axis=1, initial=0) if bags else np.zeros(0)
 
     def search(self, terms, threshold: float, blocks=None) -> list[tuple[int, float]]:
@@ -107,7 +117,7 @@ class ItemIndex:
         at least ``threshold``; with ``blocks``, only those of these blocks."""
         if blocks is None:
             return self._walk(terms, threshold, 0, len(self.owner))
-        return [x for b in blocks for x in self._walk(terms, threshold, b * BLOCK, (b + 1) * BLOCK)]
+        return [x for b in blocks for x in self._walk(terms, threshold, b * self.block, (b + 1) * self.block)]
 
     def _walk(self, terms, threshold: float, begin: int, end: int) -> list[tuple[int, float]]:
         cursors = []
@@ -129,10 +139,10 @@ class ItemIndex:
             item = cursors[pivot][0]
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
                 pivot += 1
-            block = item // BLOCK
+            block = item // self.block
             if sum(self.block_max[c[2], block] for c in cursors[:pivot + 1]) < threshold:
                 # No segment of this block before the next cursor can reach it.
-                to = (block + 1) * BLOCK
+                to = (block + 1) * self.block
                 if pivot + 1 < len(cursors):
                     to = min(to, cursors[pivot + 1][0])
                 to = max(to, item + 1)
@@ -241,35 +251,96 @@ def matcher(index: ItemIndex, threshold: float, question_share: float, answer_sh
     return match
 
 
-def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", per_pass: int = ITEMS_PER_PASS):
-    """Indexes of at most ``per_pass`` items; the items stream to the driver."""
-    rows = items.select(items[id_col].cast("long").alias("i"), text_of(items[text_col]).alias("t")).orderBy("i", "t").toLocalIterator()
-    while block := [(r["i"], r["t"]) for r in islice(rows, per_pass)]:
-        block = [(i, t) for i, t in block if WORD.search(t)]
+def item_blocks(items: DataFrame, id_col: str, text_col: str, per_pass: int) -> DataFrame:
+    """(block, ids, texts, segments, words, terms, counts), written: bounded
+    blocks of items and how many segments of the block hold each term."""
+    spark = items.sparkSession
+    rows = items.select(items[id_col].cast("long").cast("string").alias("i"), text_of(items[text_col]).alias("t"))
+    total, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.char_length("t")), F.lit(0))).first()
+    parts = max(1, -(-total // per_pass), -(-chars // CHARS_PER_PASS))
+
+    def frame(block):
+        cut = [x for _, w, _ in block for x in segments(w)]
+        df = Counter(t for x in cut for t in set(x))
+        return pd.DataFrame({"ids": [[i for i, _, _ in block]], "texts": [[t for _, _, t in block]], "segments": [len(cut)],
+                             "words": [sum(map(len, cut))], "terms": [list(df)], "counts": [list(df.values())]})
+
+    def cut(batches):
+        block, n_words, n_chars = [], 0, 0
+        for batch in batches:
+            for i, t in zip(batch["i"], batch["t"]):
+                w = words_of(t)
+                if not w:
+                    continue
+                if block and (len(block) >= per_pass or n_words + len(w) > WORDS_PER_PASS or n_chars + len(t) > CHARS_PER_PASS):
+                    yield frame(block)
+                    block, n_words, n_chars = [], 0, 0
+                block.append((i, w, t))
+                n_words, n_chars = n_words + len(w), n_chars + len(t)
         if block:
-            yield ItemIndex(block)
-
+            yield frame(block)
 
-def match_columns(items: DataFrame, text: Column, threshold: float = THRESHOLD, question_share: float = QUESTION_SHARE,
-                  answer_share: float = ANSWER_SHARE, **columns) -> list[Column]:
-    """One column of verified matches per block of items."""
-    return [matcher(ix, threshold, question_share, answer_share)(text_of(text)) for ix in item_indexes(items, **columns)]
+    blocks = rows.repartition(parts).sortWithinPartitions("i", "t").mapInPandas(
+        cut, "ids array<string>, texts array<string>, segments long, words long, terms array<string>, counts array<long>")
+    blocks = blocks.select(F.monotonically_increasing_id().alias("block"), "*")
+    blocks.write.parquet(path := scratch_path(spark, "benchmark-blocks"))
+    return spark.read.schema(blocks.schema).parquet(path)
 
 
-def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "text", per_pass: int = ITEMS_PER_PASS):
+    """How many blocks of items there are, and an iterator over their indexes
+    that holds one at a time."""
+    blocks = item_blocks(items, id_col, text_col, per_pass)
+    keys = sorted(r["block"] for r in blocks.select("block").collect())
+    if not keys:
+        return 0, iter(())
+    n, total = blocks.agg(F.sum("segments"), F.sum("words")).first()
+    df = blocks
+    if len(keys) > 1:
+        of_block = blocks.select("block", F.explode(F.arrays_zip("terms", "counts")).alias("x")).select("block", "x.terms", "x.counts")
+        df = of_block.groupBy("terms").agg(F.sum("counts").alias("counts"))
+        df = of_block.drop("counts").join(df, "terms").groupBy("block").agg(F.collect_list(F.struct("terms", "counts")).alias("x")).select("block", "x.terms", "x.counts")
+        df.write.parquet(path := scratch_path(items.sparkSession, "benchmark-terms"))
+        df = items.sparkSession.read.schema(df.schema).parquet(path)
+
+    def index(key):
+        b, d = (x.where(F.col("block") == key).first() for x in (blocks, df))
+        ids = [None if i is None else int(i) for i in b["ids"]]
+        return ItemIndex(list(zip(ids, b["texts"])), dict(zip(d["terms"], d["counts"])), n, total / n)
+
+    return len(keys), map(index, keys)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                 question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE, **options) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap, word_at``
     for every document and item that match."""
-    base = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    columns = match_columns(items, F.col("text"), **options)
-    found = F.concat(*columns) if columns else F.lit(None).cast(MATCH)
-    return base.select("doc_id", F.explode(found).alias("m")).select("doc_id", "m.*")
-
-
-def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    base = docs.select(docs[id_col].alias("doc_id"), text_of(docs[text_col]).alias("text"))
+    n, indexes = item_indexes(items, **options)
+    found = (base.select("doc_id", F.explode(matcher(x, threshold, question_share, answer_share)("text")).alias("m")).select("doc_id", "m.*") for x in indexes)
+    if n == 0:
+        return base.select("doc_id", F.explode(F.lit(None).cast(MATCH)).alias("m")).select("doc_id", "m.*")
+    if n == 1:
+        return next(found)
+    path = scratch_path(docs.sparkSession, "decontaminate")
+    for one in found:
+        one.write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(one.schema).parquet(path)
+
+
+def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
+          question_share: float = QUESTION_SHARE, answer_share: float = ANSWER_SHARE, **options) -> DataFrame:
     """The rows of ``docs`` that match no item, all columns as they were."""
-    for c in match_columns(items, docs[text_col], **options):
-        docs = docs.where(F.size(c) == 0)
-    return docs
+    text = text_of(docs[text_col])
+    n, indexes = item_indexes(items, **options)
+    hits = (F.size(matcher(x, threshold, question_share, answer_share)(text)) for x in indexes)
+    if n < 2:
+        return docs.where(next(hits) == 0) if n else docs
+    path = scratch_path(docs.sparkSession, "leaks")
+    for hit in hits:
+        docs.where(hit > 0).select(F.sha2(text, 256).alias("leak")).distinct().write.mode("append").parquet(path)
+    leaks = docs.sparkSession.read.schema("leak string").parquet(path).distinct()
+    return docs.join(leaks, F.sha2(text, 256) == leaks["leak"], "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -45,6 +45,20 @@ def test_passes_of_items_agree(spark):
     assert pairs(one) == pairs(many) == [(k, k) for k in range(20)]
 
 
+def test_blocks_of_items_are_bounded_and_share_their_statistics(spark):
+    """Blocks are cut by words as well, and scores don't depend on the cut."""
+    rows = [(k, prose(k, 100) + " " + " ".join(w for j, w in enumerate(item(k).split(" ")) if j not in (4, 5))) for k in range(20)] + [(None, None), (99, "")]
+    docs, bench = docs_table(spark, rows), items(spark, BENCH)
+    pairs = lambda df: sorted((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in df.collect())
+    one, many = pairs(op.contaminated(docs, bench)), pairs(op.contaminated(docs, bench, per_pass=7))
+    assert one == many and [x[:2] for x in one] == [(k, k) for k in range(20)] and any(x[2] < 1 for x in one)
+    kept = op.clean(docs, bench, per_pass=7)
+    assert kept.columns == docs.columns and sorted(map(repr, (r["doc_id"] for r in kept.collect()))) == ["99", "None"]
+    n, indexes = op.item_indexes(items(spark, [(k, prose(k, 20_000)) for k in range(8)]))
+    sizes = [sum(len(q) + len(a) for q, a in x.parts) for x in indexes]
+    assert n == len(sizes) > 1 and max(sizes) <= op.WORDS_PER_PASS and sum(sizes) == sum(len(op.words_of(prose(k, 20_000))) for k in range(8))
+
+
 def test_wand_equals_full_scoring():
     index = op.ItemIndex([(k, item(k)) for k in range(50)])
     rng = random.Random(3)
