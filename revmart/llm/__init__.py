@@ -28,6 +28,7 @@ MODULES = (
     "lm_score",
     "near_dedup",
     "html_extract",
+    "secret_scan",
     "token_align",
     "whitening",
 )
