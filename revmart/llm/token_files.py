@@ -14,7 +14,8 @@ a document is never split over two files.
 
 Defined cases: null and empty texts are the end id alone; rows with a null id
 come first; rows with equal ids stand in order of a hash of their text;
-repeated rows each have their tokens; other columns are ignored; an empty
+the tokenizer's special strings inside a text are special tokens, as its own
+library has them; very long texts are taken whole; repeated rows each have their tokens; other columns are ignored; an empty
 table writes no file and reads back empty.
 """
 
@@ -214,9 +215,7 @@ def load_tokenizer(path: str):
     if path not in cache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        cache[path] = t
+        cache[path] = Tokenizer.from_file(path)
     return cache[path]
 
 

@@ -1,17 +1,21 @@
 import numpy as np
 import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 from revmart.llm import token_files as op
 from revmart.llm.common import scratch_path
 
 from .helpers import awkward_texts, docs_table, prose
 
-SPECIAL = [(50, "it's THE end, isn't it?  a\x85b\xa0c d\x1ce\x1f f"), (51, "é ́x  ﬀ ǅ İI 12345 ¼"), (52, "<|startoftext|> a<|endoftext|>b "), (53, "co-op,and;or...(yes)[no]!?")]
+SPECIAL = [(50, "it's THE end, isn't it?  a\x85b\xa0c d\x1ce\x1f f"), (51, "é ́x  ﬀ ǅ İI 12345 ¼"), (52, "<|startoftext|> a<|endoftext|>b "), (54, "<|ENDOFTEXT|> <|endoftext| x<|endoftext|><|startoftext|>É<|endoftext|>\u0301"), (53, "co-op,and;or...(yes)[no]!?")]
+
+
+OWN = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def whole(text):
-    return op.load_tokenizer(public_tokenizers.path(op.TOKENIZER)).encode(text or "", add_special_tokens=False).ids + [op.END_ID]
+    return OWN.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 @pytest.mark.parametrize("shard_tokens,partition_bytes", [(500, 60_000), (1 << 20, 24_000_000)])
