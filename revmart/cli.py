@@ -20,8 +20,10 @@ import datetime as _dt
 import logging
 import sys
 
+from pyspark.sql import functions as F
+
 from revmart.operators.quality import DuplicateKeyError, preview, profile
-from revmart.plans.warehouse import DIMS_MARTS, RELATIONS, STAGING, Warehouse, group_of
+from revmart.plans.warehouse import DIMS_MARTS, PROFILE_TABLE, RELATIONS, STAGING, Warehouse, group_of
 from revmart.sources import landing
 from revmart.sources.schema import RAW_TABLES, SCHEMAS
 
@@ -93,12 +95,17 @@ def cmd_inspect(spark, args) -> int:
         if db and spark.catalog.tableExists(f"{db}.{n}"):
             w.use_table(n, f"{db}.{n}")
     names = _relations_for(args)
+    kept = f"{args.analytics_db}.{PROFILE_TABLE}"
+    stored = spark.table(kept) if spark.catalog.tableExists(kept) else None
+    written = {r["relation"] for r in stored.select("relation").distinct().collect()} if stored else set()
     if not names:
         print(f"no relation matches {args.group or args.relation!r}")
         return 1
     for n in names:
         try:
-            columns = profile(w.relation(n), n, group_of(n)).select("column_name", "data_type", "null_count", "row_count")
+            # what was written has been counted by that write
+            counts = stored.where(F.col("relation") == n) if n in written else profile(w.relation(n), n, group_of(n))
+            columns = counts.select("column_name", "data_type", "null_count", "row_count")
             print(f"\n== {n} ({group_of(n)})")
             columns.show(1000, truncate=False)
             preview(w.relation(n), args.rows).show(truncate=False)

@@ -110,3 +110,29 @@ def mean_ratio_pct(sum_units: Column, count: Column) -> Column:
     """``ROUND(AVG(ratio) * 100, 2)`` from the exact sum of ratio units."""
     den = count.cast(T.DecimalType(20, 0)) * F.lit(10 ** (RATIO_UNIT_DIGITS - 4)).cast(T.DecimalType(20, 0))
     return scaled(round_div_int(sum_units, den, 1), 2, PCT)
+
+
+# Present values are kept as integers of 10**-PV_DIGITS cents, rounded at every
+# period, so they are off by less than one such unit a period (for rates of 0
+# and more): the cents are those of the exact quotient, and sums don't depend
+# on the order of their terms. Flows up to 1e17 fit.
+PV_DIGITS = 12
+_UNITS = T.DecimalType(38, 0)
+
+
+def pv_units(cashflow: Column, rate: Column, period: Column) -> Column:
+    """``cashflow / (1 + rate) ** period`` in units of 10**-PV_DIGITS cents:
+    the flow is divided by the exact ``1 + rate`` once per period. Null for a
+    rate of -1."""
+    growth = F.nullif(((F.lit(1) + rate) * F.lit(10_000)).cast(T.DecimalType(10, 0)), F.lit(0))
+    start = (F.abs(cashflow).cast(T.DecimalType(38, 2)) * _lit_dec(10 ** (PV_DIGITS + 2))).cast(_UNITS)
+
+    def step(v: Column, m: Column) -> Column:
+        return floor_div(v * _lit_dec(20_000) + m, m * _lit_dec(2)).cast(_UNITS)
+    value = F.aggregate(F.array_repeat(growth, period.cast("int")), start, step)
+    return F.when(cashflow < 0, -value).otherwise(value)
+
+
+def pv_round(units: Column, dtype: T.DecimalType) -> Column:
+    """Units of :func:`pv_units` rounded to cents, ties away from zero."""
+    return scaled(round_div_int(units, F.lit(Decimal(10 ** PV_DIGITS))), 2, dtype)

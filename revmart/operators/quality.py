@@ -3,7 +3,7 @@
 Spark enforces no unique keys. The reference's unique indexes become
 (a) ``unique_key_report``: one row per checked key with row, null, distinct
 and duplicated-key counts, and (b) ``assert_unique``: raise when a key is
-duplicated (used by ``Warehouse.materialize`` after each table is written,
+duplicated (used by ``Warehouse.materialize`` on each table it writes,
 as a failed index build stops the reference's run). NULL keys never collide.
 
 Both are two-level aggregations: ``groupBy(key).count()`` (partial +
@@ -108,9 +108,14 @@ def profile(df: DataFrame, relation: str, group: str) -> DataFrame:
 
 
 def relation_profile(warehouse, names) -> DataFrame:
-    from revmart.plans.warehouse import group_of
-    parts = [profile(warehouse.relation(n), n, group_of(n)) for n in names]
-    return _union(parts)
+    """Profile of several relations. Dimensions and marts are written once and
+    counted by that write; every other relation is one aggregate over what is
+    written, so none is worked out twice."""
+    from revmart.plans.warehouse import DIMS_MARTS, PROFILE_SCHEMA, group_of
+    warehouse.write_once(names)
+    counted = warehouse.spark.createDataFrame([r for r in warehouse.counted if r[0] in names], PROFILE_SCHEMA)
+    rest = [profile(warehouse.relation(n), n, group_of(n)) for n in names if group_of(n) != DIMS_MARTS]
+    return _union([counted, *rest])
 
 
 def landing_validation(sources) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revmart.functions import INDEX3, MONEY_TOTAL, RATE, ratio
-from revmart.plans.marts import discount_factor_pv
+from revmart.functions import INDEX3, MONEY_TOTAL, RATE, pv_round, pv_units, ratio
 
 LONG = T.LongType()
 
@@ -70,24 +69,25 @@ def vw_capex_project_summary(mart_cashflow: DataFrame) -> DataFrame:
 
 def vw_capex_sensitivity(mart_cashflow: DataFrame) -> DataFrame:
     """NPV of every project at each of seven discount rates, rounded
-    once (sum of unrounded discounted terms), with its sign.
+    once (an exact sum of discounted terms in fixed point, so it does not
+    depend on the order of the rows), with its sign.
 
     All seven NPVs are computed in one grouped pass (seven conditional
     sums), then unpivoted to seven rows per project -- no cross join.
     """
     cf, t = F.col("operational_cashflow"), F.col("period_t")
-    aggs = [F.sum(discount_factor_pv(cf, F.lit(Decimal(r)), t)).alias(f"_npv{i}")
+    aggs = [F.sum(pv_units(cf, F.lit(Decimal(r)), t)).alias(f"_npv{i}")
             for i, r in enumerate(SENSITIVITY_RATES)]
     g = mart_cashflow.groupBy("product_id").agg(*aggs)
     rows = F.array(*[
         F.struct(F.lit(Decimal(r)).cast(SENSITIVITY_RATE_TYPE).alias("discount_rate"),
-                 F.col(f"_npv{i}").alias("npv_raw"))
+                 F.col(f"_npv{i}").alias("npv_units"))
         for i, r in enumerate(SENSITIVITY_RATES)
     ])
     long = g.select("product_id", F.explode(rows).alias("_r")).select(
-        "product_id", "_r.discount_rate", "_r.npv_raw")
+        "product_id", "_r.discount_rate", "_r.npv_units")
     return long.select(
         "product_id", "discount_rate",
-        F.round(F.col("npv_raw"), 2).cast(MONEY_TOTAL).alias("npv"),
-        F.when(F.col("npv_raw") > 0, "Positive").otherwise("Negative").alias("npv_sign"),
+        pv_round(F.col("npv_units"), MONEY_TOTAL).alias("npv"),
+        F.when(F.col("npv_units") > 0, "Positive").otherwise("Negative").alias("npv_sign"),
     ).orderBy(F.col("product_id").asc_nulls_last(), F.col("discount_rate").asc_nulls_last())

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import (
-    MONEY, MONEY_TOTAL, RATE, UNIT_PRICE4, month_abbr, pct, ratio, ratio_units, uuid5, year_month_label,
+    MONEY, MONEY_TOTAL, RATE, UNIT_PRICE4, month_abbr, pct, pv_round, pv_units, ratio, ratio_units, uuid5,
+    year_month_label,
 )
 
 INT = T.IntegerType()
@@ -45,11 +46,14 @@ def last_date(sales: DataFrame) -> str:
     return "last_date" if "last_date" in sales.columns else "order_date"
 
 
-def product_sales(stg_sales: DataFrame) -> DataFrame:
-    """The fact rolled up to product x year x month: sums, and the sums and
+PRODUCT_MONTH = ("product_id", "order_year", "order_month")
+
+
+def product_sales(stg_sales: DataFrame, keys: tuple[str, ...] = PRODUCT_MONTH) -> DataFrame:
+    """The fact rolled up to product x year x month (or fewer ``keys``): sums, and the sums and
     counts behind average prices and mean discount ratios."""
     off = ratio_units(F.col("revenue") - F.col("gross_sales"), F.col("gross_sales"))
-    return stg_sales.groupBy("product_id", "order_year", "order_month").agg(
+    return stg_sales.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in ("revenue", "calculated_profit", "units_sold", "discount_premium", "gross_sales")],
         F.sum("manufacturing_price").alias("mfg_sum"), F.count("manufacturing_price").alias("mfg_n"),
         F.sum("target_sale_price").alias("target_sum"), F.count("target_sale_price").alias("target_n"),
@@ -206,14 +210,9 @@ def mart_product_sales(stg_sales: DataFrame) -> DataFrame:
     )
 
 
-def discount_factor_pv(cashflow: F.Column, rate: F.Column, period: F.Column) -> F.Column:
-    """``cashflow / (1 + rate) ** period`` in double precision."""
-    return cashflow.cast("double") / F.pow(F.lit(1.0) + rate.cast("double"), period.cast("double"))
-
-
 def mart_product_cashflow(stg_cash_flow: DataFrame) -> DataFrame:
     """M5: per project and date: period number, flow type, discounted flow
-    (rounded to cents) and running undiscounted total.
+    (exact decimals, rounded to cents once) and running undiscounted total.
 
     Duplicate (date, product) rows are summed first, so the windows run over
     one row per project period.
@@ -235,7 +234,6 @@ def mart_product_cashflow(stg_cash_flow: DataFrame) -> DataFrame:
         cf.cast(MONEY_TOTAL).alias("operational_cashflow"),
         "period_t",
         F.when(cf < 0, "Outflow").otherwise("Inflow").alias("flow_type"),
-        F.round(discount_factor_pv(cf, F.col("assigned_discount_rate"), F.col("period_t")), 2)
-         .cast(MONEY_TOTAL).alias("discounted_cashflow"),
+        pv_round(pv_units(cf, F.col("assigned_discount_rate"), F.col("period_t")), MONEY_TOTAL).alias("discounted_cashflow"),
         F.sum(cf).over(run).cast(MONEY_TOTAL).alias("cumulative_cashflow"),
     )

@@ -14,13 +14,14 @@ Per sheet:
      reference's reader, or an explicit schema when given),
   2. clean the column names (Python on the names only, rows stay in Spark);
      two columns that clean to the same name are an error,
-  3. write the sheet once, to a staging table (the only pass over the
-     extract besides csv type inference),
-  4. validate from that columnar copy in ONE aggregate pass: row count and
-     non-null count per column; an empty sheet is skipped (staging dropped,
-     the previous raw data stays), all-null columns only warn,
-  5. full refresh: swap the staging table in, so a failed write never
-     leaves the raw table empty,
+  3. write the sheet once, as the next version of its table (the only pass
+     over the extract besides csv type inference),
+  4. validate from what was counted while it was written (rows, values per
+     column), without reading anything again: an empty sheet is skipped (the
+     version is dropped, what was landed before stays), all-null columns only
+     warn,
+  5. full refresh: move the table's name to the new version in one step, so
+     that readers always find the old rows or the new (see ``publish``),
   6. after the last sheet, append one audit row per input (file, sheet,
      table, row count from step 4, run mode, timestamp) to
      ``<database>.ingestion_log`` in one write.
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from revmart.sources.publish import FULL_REFRESH, INITIAL_LOAD, Version, discard, publish, stage  # noqa: F401
 from revmart.sources.schema import RAW_TABLES
 
 log = logging.getLogger("revmart.landing")
@@ -50,8 +52,6 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("ingested_at", T.TimestampType()),
 ])
 
-INITIAL_LOAD = "initial_load"
-FULL_REFRESH = "full_refresh"
 SKIPPED_EMPTY = "skipped_empty"
 FAILED = "failed"
 SKIPPED_UNSUPPORTED = "skipped_unsupported"
@@ -99,14 +99,10 @@ class Validation:
         return self.row_count == 0
 
 
-def validate(df: DataFrame) -> Validation:
-    """Row count and all-null columns from a single aggregate job."""
-    cols = df.columns
-    row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count(F.col(f"`{c}`")).alias(f"__c{i}") for i, c in enumerate(cols)]).first()
-    n = int(row["__n"])
-    nulls = tuple(c for i, c in enumerate(cols) if n > 0 and row[f"__c{i}"] == 0)
-    return Validation(n, nulls)
+def validate(version: Version) -> Validation:
+    """Row count and all-null columns, from the counts taken by the write."""
+    nulls = tuple(c for c, _, n in version.null_counts() if version.row_count and n == version.row_count)
+    return Validation(version.row_count, nulls)
 
 
 @dataclass(frozen=True)
@@ -184,43 +180,9 @@ def _table_exists(spark: SparkSession, full: str) -> bool:
     return spark.catalog.tableExists(full)
 
 
-def stage_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
-    """Write the new data next to the live table; returns the staging name."""
-    staging = f"{database}.{table}__incoming"
-    spark.sql(f"DROP TABLE IF EXISTS {staging}")
-    df.write.mode("overwrite").format("parquet").saveAsTable(staging)
-    return staging
-
-
-def recover(spark: SparkSession, database: str, table: str) -> None:
-    """Undo a swap that was cut short: a table set aside comes back if there
-    is no live one, and goes if there is."""
-    full, aside = f"{database}.{table}", f"{database}.{table}__previous"
-    if _table_exists(spark, aside):
-        if _table_exists(spark, full):
-            spark.sql(f"DROP TABLE {aside}")
-        else:
-            spark.sql(f"ALTER TABLE {aside} RENAME TO {full}")
-
-
-def swap_in(spark: SparkSession, staging: str, database: str, table: str) -> str:
-    """Replace the live table by the staged one. Returns the run mode. The
-    live table is set aside, not dropped, until the new one is in its place,
-    so that a stop in between loses nothing (see :func:`recover`)."""
-    recover(spark, database, table)
-    full, aside = f"{database}.{table}", f"{database}.{table}__previous"
-    live = _table_exists(spark, full)
-    if live:
-        spark.sql(f"ALTER TABLE {full} RENAME TO {aside}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {full}")
-    if live:
-        spark.sql(f"DROP TABLE {aside}")
-    return FULL_REFRESH if live else INITIAL_LOAD
-
-
 def load_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
-    """Full refresh by write-then-swap. Returns the run mode."""
-    return swap_in(spark, stage_table(spark, df, database, table), database, table)
+    """Full refresh: write the next version, then move the name. Returns the run mode."""
+    return publish(spark, stage(spark, df, database, table), database, table)
 
 
 def _audit(spark: SparkSession, database: str, rows: list[tuple]) -> None:
@@ -277,18 +239,18 @@ def _land_sheet(spark: SparkSession, sh: Sheet, database: str, schema: T.StructT
         return res | {"run_mode": SKIPPED_UNSUPPORTED}
     try:
         df = sanitize_columns(read_sheet(spark, sh, schema))
-        staging = stage_table(spark, df, database, sh.table_name)
-        v = validate(spark.table(staging))
+        version = stage(spark, df, database, sh.table_name)
+        v = validate(version)
         res["row_count"] = v.row_count
         res["null_columns"] = v.null_columns
         if v.null_columns:
             log.warning("no value at all in columns %s of %s", ", ".join(v.null_columns), sh.table_name)
         if v.empty:
-            spark.sql(f"DROP TABLE IF EXISTS {staging}")
+            discard(spark, version)
             log.warning("%s has no rows; what was landed before stays", sh.table_name)
             res["run_mode"] = SKIPPED_EMPTY
         else:
-            res["run_mode"] = swap_in(spark, staging, database, sh.table_name)
+            res["run_mode"] = publish(spark, version, database, sh.table_name)
             log.info("%s.%s: %d rows, %s", database, sh.table_name, v.row_count, res["run_mode"])
     except Exception as e:  # an error stays within its input
         log.error("could not land %s: %s", sh.path, e)

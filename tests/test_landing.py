@@ -194,20 +194,6 @@ def test_two_inputs_for_one_table_fail_before_any_write(spark):
     assert not spark.catalog.tableExists(f"{db}.dup")
 
 
-def test_a_stopped_swap_loses_nothing(spark):
-    db = _db()
-    spark.sql(f"CREATE DATABASE {db}")
-    one, two = spark.range(1), spark.range(2)
-    landing.load_table(spark, one, db, "t")
-    landing.stage_table(spark, two, db, "t")
-    spark.sql(f"ALTER TABLE {db}.t RENAME TO {db}.t__previous")  # stopped between the two renames
-    landing.recover(spark, db, "t")
-    assert spark.table(f"{db}.t").count() == 1
-    assert landing.load_table(spark, two, db, "t") == landing.FULL_REFRESH
-    assert spark.table(f"{db}.t").count() == 2
-    assert not spark.catalog.tableExists(f"{db}.t__previous")
-
-
 def test_build_from_a_book_of_sheets(spark):
     direct = Warehouse.from_testdata(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="book-", dir="/tmp")
