@@ -6,13 +6,15 @@ and duplicated-key counts, and (b) ``assert_unique``: raise when a key is
 duplicated (used by ``Warehouse.materialize`` on each table it writes,
 as a failed index build stops the reference's run). NULL keys never collide.
 
-Both are two-level aggregations: ``groupBy(key).count()`` (partial +
-final, so a hot key is pre-combined per map task) and then a global
-aggregate over the per-key counts.
+Both are two-level aggregations: ``groupBy(key).count()`` in the key's own
+type (partial + final, so a hot key is pre-combined per map task) and then a
+global aggregate over the per-key counts.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,22 +46,19 @@ class DuplicateKeyError(ValueError):
 
 
 def key_stats(df: DataFrame, *keys: str) -> DataFrame:
-    """One row per key, from one pass: key_column, row_count, null_keys,
-    distinct_keys, duplicate_keys."""
-    values = F.array(*[F.struct(F.lit(k).alias("key_column"), F.col(k).cast("string").alias("_k")) for k in keys])
-    per_key = (df.select(F.explode(values).alias("_v")).select("_v.*")
-               .groupBy("key_column", "_k").agg(F.count(F.lit(1)).alias("_c")))
-    found = per_key.groupBy("key_column").agg(
-        F.sum("_c").alias("row_count"),
-        F.sum(F.when(F.col("_k").isNull(), F.col("_c")).otherwise(0)).alias("null_keys"),
-        F.count("_k").alias("distinct_keys"),
-        F.count(F.when(F.col("_k").isNotNull() & (F.col("_c") > 1), 1)).alias("duplicate_keys"),
-    )
-    # A relation without rows still reports its keys.
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k) for k in keys])).alias("key_column"))
-    counts = ("row_count", "null_keys", "distinct_keys", "duplicate_keys")
-    return names.join(found, "key_column", "left").select(
-        "key_column", *[F.coalesce(F.col(c), F.lit(0)).cast(LONG).alias(c) for c in counts])
+    """One row per key: key_column, row_count, null_keys, distinct_keys,
+    duplicate_keys. The relation is worked out once and grouped by all its keys
+    together, in their own types; each key is then counted over that one
+    shuffled result (Spark reuses the exchange)."""
+    together = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
+    return _union([_one_key(together if len(keys) == 1 else together.groupBy(k).agg(F.sum("_c").alias("_c")), k) for k in keys])
+
+
+def _one_key(per_key: DataFrame, key: str) -> DataFrame:
+    k, c = F.col(key), F.col("_c")
+    counts = {"row_count": F.sum(c), "null_keys": F.sum(F.when(k.isNull(), c)), "distinct_keys": F.count(k),
+              "duplicate_keys": F.count(F.when(k.isNotNull() & (c > 1), 1))}
+    return per_key.agg(*[F.coalesce(v, F.lit(0)).cast(LONG).alias(n) for n, v in counts.items()]).select(F.lit(key).alias("key_column"), *counts)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -127,6 +126,45 @@ def landing_validation(sources) -> DataFrame:
                                 ((F.col("row_count") > 0) & (F.col("null_count") == F.col("row_count"))).alias("all_null"))
 
 
+LOG_COLUMNS = ("id", "file_name", "sheet_name", "table_name", "row_count", "run_mode")
+
+
+def landing_round_trip(sources) -> DataFrame:
+    """The five sources written as extracts of several kinds below the scratch
+    folder and landed twice: one row per line of the audit log (without its
+    time), with the rows and a sum of row hashes of the table that readers then
+    find."""
+    from revmart.session import ensure_checkpoint_dir
+    from revmart.sources import landing
+    from revmart.sources.schema import RAW_TABLES, SCHEMAS
+    frames = {n: getattr(sources, n) for n in sources.NAMES}
+    spark = next(iter(frames.values())).sparkSession
+    tag = uuid.uuid4().hex
+    root, db = f"{ensure_checkpoint_dir(spark).rstrip('/')}/extracts-{tag}", f"round_trip_{tag[:12]}"
+    for n, df in frames.items():
+        kind = EXTRACT_KINDS[n]
+        df.write.format(kind).options(**({"header": "true"} if kind == "csv" else {})).save(f"{root}/{RAW_TABLES[n]}")
+    for _ in range(2):
+        landing.land(spark, root, db, schemas=SCHEMAS)
+    found = _union([_content(spark.table(f"{db}.{t}"), SCHEMAS[n].fieldNames()).select(F.lit(t).alias("table_name"), "*") for n, t in RAW_TABLES.items()])
+    result = spark.table(f"{db}.{landing.AUDIT_TABLE}").select(*LOG_COLUMNS).join(found, "table_name").select(*LOG_COLUMNS, "landed_rows", "content")
+    result = result.checkpoint(eager=True)          # one row per line of the log
+    spark.sql(f"DROP DATABASE {db} CASCADE")
+    return result
+
+
+# Extract format of each source in the round trip.
+EXTRACT_KINDS = {"sales": "parquet", "customers": "csv", "targets": "json", "cash_flow": "csv", "employees": "parquet"}
+
+
+def _content(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, and the sum of their hashes: the first 32 bits of the md5 of the
+    columns as text, so the order of rows does not matter."""
+    line = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in columns])
+    part = F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast(LONG)
+    return df.agg(F.count(F.lit(1)).alias("landed_rows"), F.coalesce(F.sum(part), F.lit(0)).cast(LONG).alias("content"))
+
+
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows of a relation (the inspector's preview)."""
     return df.limit(rows)
