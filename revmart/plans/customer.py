@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revmart.functions import MONEY_TOTAL, pct
-from revmart.operators.ntile import add_ntiles
+from revmart.operators.selection import select_ntiles
 from revmart.plans.executive import sales_by_customer_year
 from revmart.plans.marts import customer_multiplicity, last_date
 from revmart.session import ensure_checkpoint_dir
@@ -99,10 +99,10 @@ def vw_customer_rfm(stg_sales: DataFrame, stg_customers: DataFrame,
     customers get r_score 1; ``recency_high_is_recent=True`` flips that.
     Scores are computed over every customer id in the fact (NULL and
     unknown ids included) before the join to customers drops them.
-    The NTILEs are exact and distributed (see ``operators.ntile``); ties are
-    broken by customer_id. Building the frame runs jobs: the customer roll-up
-    is written once to the checkpoint folder, and the cut points of the three
-    metrics are found from (metric, customer_id) pairs.
+    The NTILEs are exact and sort no customers (see ``operators.selection``);
+    ties are broken by customer_id. Building the frame runs jobs: the customer
+    roll-up is written once to the checkpoint folder, and the cut points of the
+    three metrics are closed in on by counts over it.
     """
     raw = stg_sales.groupBy("customer_id").agg(
         F.max(last_date(stg_sales)).alias("last_order_date"),
@@ -117,12 +117,9 @@ def vw_customer_rfm(stg_sales: DataFrame, stg_customers: DataFrame,
     ensure_checkpoint_dir(raw.sparkSession)
     raw = raw.checkpoint(eager=True)
 
-    def key(metric, descending=False):
-        first = [metric.isNotNull(), -metric] if descending else [metric.isNull(), metric]
-        return [*first, F.col("customer_id").isNull(), F.col("customer_id")]
-    scored = add_ntiles(raw, 5, {
-        "r_score": key(F.col("recency_days"), descending=recency_high_is_recent),
-        "f_score": key(F.col("frequency")), "m_score": key(F.col("monetary"))})
+    recency = -F.col("recency_days") if recency_high_is_recent else F.col("recency_days")
+    scored = select_ntiles(raw, 5, {"r_score": recency, "f_score": F.col("frequency"), "m_score": F.col("monetary")}, "customer_id",
+                           nulls_first=frozenset({"r_score"} if recency_high_is_recent else ()))
     # Copies of a customer row are counted before the join and spelled out after it.
     cust = customer_multiplicity(stg_customers, ["customer_segment", "country"])
     j = scored.join(cust, "customer_id").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast(LONG), F.col("_k"))))
