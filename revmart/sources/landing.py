@@ -30,8 +30,11 @@ Per sheet:
 from __future__ import annotations
 
 import logging
+import time
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,33 +179,98 @@ def read_sheet(spark: SparkSession, sheet: Sheet, schema: T.StructType | None =
     return r.load(sheet.path)
 
 
-def _table_exists(spark: SparkSession, full: str) -> bool:
-    return spark.catalog.tableExists(full)
-
-
 def load_table(spark: SparkSession, df: DataFrame, database: str, table: str) -> str:
     """Full refresh: write the next version, then move the name. Returns the run mode."""
     return publish(spark, stage(spark, df, database, table), database, table)
 
 
+CLAIMS = "_ids"           # folder beside the log's files; Spark skips names that start so
+CLAIM_SECONDS = 30.0      # how long a claim without a size is waited for
+
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _claim(spark: SparkSession, path: str, n: int) -> bool:
+    """Make a file that holds ``n``; False if it is there already. Of several
+    callers one at most makes it."""
+    fs, hadoop = _fs(spark, path)
+    fs.mkdirs(hadoop.getParent())
+    if fs.getScheme() == "file":      # Hadoop's local file system looks first and writes then
+        if not spark._jvm.java.io.File(hadoop.toUri().getPath()).createNewFile():
+            return False
+        out = fs.create(hadoop, True)
+    else:
+        try:
+            out = fs.create(hadoop, False)
+        except Py4JJavaError:
+            if fs.exists(hadoop):
+                return False
+            raise
+    out.writeBytes(str(n))
+    out.close()
+    return True
+
+
+def _claimed(spark: SparkSession, folder: str) -> int:
+    """Last id that is claimed."""
+    fs, hadoop = _fs(spark, folder)
+    names = [st.getPath().getName() for st in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+    names = [n for n in names if n.isdigit()]
+    if not names:
+        return 0
+    last, until = max(names), time.monotonic() + CLAIM_SECONDS
+    while True:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{last}")
+        stream = fs.open(path)
+        size = bytes(stream.readAllBytes()).decode()
+        stream.close()
+        if size or time.monotonic() > until:      # its maker died before it wrote the size
+            return int(last) + int(size or 1) - 1
+        time.sleep(0.05)
+
+
+def reserve_ids(spark: SparkSession, database: str, n: int) -> int:
+    """First of ``n`` consecutive ids of the audit log that no other load has
+    or gets. A range is taken by making the file of its first id; who comes
+    second takes the next range. Ids are gap-free but for loads that were
+    killed between here and their log lines."""
+    folder = f"{log_folder(spark, database)}/{CLAIMS}"
+    while True:
+        start = max(spark.table(f"{database}.{AUDIT_TABLE}").agg(F.max("id")).first()[0] or 0, _claimed(spark, folder)) + 1
+        if _claim(spark, f"{folder}/{start:018d}", n):
+            return start
+
+
+def log_folder(spark: SparkSession, database: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{AUDIT_TABLE}").where("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+
 def _audit(spark: SparkSession, database: str, rows: list[tuple]) -> None:
-    """Append audit rows with the next sequential ids (one-row aggregate over
-    the log for the current maximum)."""
+    """Append audit rows with the next sequential ids. The rows are written
+    aside and moved in as a file of their own: two loads that append to one
+    folder at once would share its temporary files."""
     if not rows:
         return
-    log_table = f"{database}.{AUDIT_TABLE}"
-    last = spark.table(log_table).agg(F.max("id")).first()[0] or 0
-    df = spark.createDataFrame(
-        [(last + i + 1,) + r + (None,) for i, r in enumerate(rows)], AUDIT_SCHEMA
-    ).withColumn("ingested_at", F.current_timestamp())
-    df.write.mode("append").format("parquet").saveAsTable(log_table)
+    start, folder = reserve_ids(spark, database, len(rows)), log_folder(spark, database)
+    df = spark.createDataFrame([(start + i,) + r + (None,) for i, r in enumerate(rows)], AUDIT_SCHEMA).withColumn("ingested_at", F.current_timestamp())
+    aside = f"{folder}/_incoming-{uuid.uuid4().hex}"
+    df.coalesce(1).write.parquet(aside)
+    fs, hadoop = _fs(spark, aside)
+    for st in fs.listStatus(hadoop):
+        name = st.getPath().getName()
+        if name.startswith("part-") and not fs.rename(st.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")):
+            raise OSError(f"could not move {st.getPath()} into the audit log")
+    fs.delete(hadoop, True)
+    spark.catalog.refreshTable(f"{database}.{AUDIT_TABLE}")
 
 
 def ensure_audit_table(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if not _table_exists(spark, f"{database}.{AUDIT_TABLE}"):
-        spark.createDataFrame([], AUDIT_SCHEMA).write.format("parquet").saveAsTable(
-            f"{database}.{AUDIT_TABLE}")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in AUDIT_SCHEMA)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{AUDIT_TABLE} ({columns}) USING parquet")
 
 
 def land(spark: SparkSession, root: str, database: str = "raw",

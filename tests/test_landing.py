@@ -194,6 +194,44 @@ def test_two_inputs_for_one_table_fail_before_any_write(spark):
     assert not spark.catalog.tableExists(f"{db}.dup")
 
 
+def test_loads_at_once_get_ids_of_their_own(spark):
+    """Four loads at the same time: distinct ids without a gap, every line there."""
+    import threading
+    root = tempfile.mkdtemp(prefix="landing-once-", dir="/tmp")
+    db, sizes, failed = _db(), (1, 3, 2, 2), []
+    for k, n in enumerate(sizes):
+        for j in range(n):
+            _write(f"{root}/{k}/s{k}_{j}.csv", "a\n1\n")
+
+    def load(k):
+        try:
+            landing.land(spark, f"{root}/{k}", db)
+        except Exception as e:
+            failed.append(e)
+    threads = [threading.Thread(target=load, args=(k,)) for k in range(len(sizes))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed, failed[0]
+    log = spark.table(f"{db}.{landing.AUDIT_TABLE}").collect()
+    assert sorted(r["id"] for r in log) == list(range(1, sum(sizes) + 1))
+    assert {r["table_name"] for r in log} == {f"s{k}_{j}" for k, n in enumerate(sizes) for j in range(n)}
+    for k, n in enumerate(sizes):
+        own = sorted(r["id"] for r in log if r["table_name"].startswith(f"s{k}_"))
+        assert own == list(range(own[0], own[0] + n))
+
+
+def test_a_claim_without_a_size_does_not_block(spark, monkeypatch):
+    monkeypatch.setattr(landing, "CLAIM_SECONDS", 0.2)
+    db = _db()
+    landing.ensure_audit_table(spark, db)
+    assert landing.reserve_ids(spark, db, 4) == 1 and landing.reserve_ids(spark, db, 1) == 5
+    folder = landing.log_folder(spark, db).removeprefix("file:")
+    open(f"{folder}/{landing.CLAIMS}/{6:018d}", "w").close()      # its maker died here
+    assert landing.reserve_ids(spark, db, 2) == 7
+
+
 def test_build_from_a_book_of_sheets(spark):
     direct = Warehouse.from_testdata(spark, SF_SMALL)
     root = tempfile.mkdtemp(prefix="book-", dir="/tmp")
