@@ -45,6 +45,9 @@ PAD, END = 0xFE, 0xFF   # bytes that UTF-8 never uses
 SYMBOLS = 255           # every byte but PAD
 BLOCK_BYTES = 16_000_000
 CHUNK_BYTES = 1_000_000
+KEY_BYTES = 32_000_000  # text whose grams and words one partition by key sums up
+LIST_BLOCKS = 1024      # blocks that one row names
+SUMMED_ROWS = 50_000
 END_WORD = b"\n"        # never a word
 FOLDS, HELD_OUT = 7, 2
 GRAM, WORD = 0, 1
@@ -148,6 +151,37 @@ def _distinct(gram: np.ndarray, doc: np.ndarray):
     return keys, codes, doc
 
 
+def _summed(batches):
+    """Of one partition by key: the training count of each key over all blocks
+    and the blocks that hold it, by one sort and one pass over its runs. A long
+    list of blocks goes on in further rows, which are not ``first``."""
+    rows = [[b.column(c).to_numpy() for c in ("block", "kind", "key", "n")] for b in batches]
+    if not rows:
+        return
+    block, kind, key, n = (np.concatenate(c) for c in zip(*rows))
+    del rows
+    for which in (GRAM, WORD):
+        at = np.flatnonzero(kind == which)
+        if not len(at):
+            continue
+        at = at[np.argsort(key[at], kind="stable")]
+        keys, blocks = key[at], block[at]
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1])
+        lengths = np.diff(np.append(starts, len(keys)))
+        totals = np.add.reduceat(n[at], starts)
+        parts = -(-lengths // LIST_BLOCKS)
+        run = np.repeat(np.arange(len(starts)), parts)
+        inner = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+        cuts = starts[run] + inner * LIST_BLOCKS
+        ends = np.append(cuts[1:], len(keys))
+        for lo in range(0, len(run), SUMMED_ROWS):
+            hi = min(lo + SUMMED_ROWS, len(run))
+            offsets = pa.array(np.append(cuts[lo:hi], ends[hi - 1]) - cuts[lo], pa.int32())
+            lists = pa.ListArray.from_arrays(offsets, pa.array(blocks[cuts[lo]:ends[hi - 1]], pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(hi - lo, which, "int32")), pa.array(keys[cuts[lo:hi]]), pa.array(totals[run[lo:hi]]),
+                                              pa.array(inner[lo:hi] == 0), lists], names=["kind", "key", "n", "first", "blocks"])
+
+
 def estimator(order1: np.ndarray):
     """log10 probability of each gram of one group: all grams that share the
     last two context bytes. ``order1[c, s]``: count of symbol s after byte c."""
@@ -240,18 +274,19 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     gathered = base.select("block", "held_out", "text").repartition(n_blocks, "block").sortWithinPartitions("block") \
         .mapInArrow(_gather, "block int, kind int, key long, n long")
-    counts = gathered.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.collect_list("block").alias("blocks"))
+    summed = "kind int, key long, n long, first boolean, blocks array<int>"
+    counts = gathered.repartition(max(1, math.ceil(size / KEY_BYTES)), "kind", "key").mapInArrow(_summed, summed)
     counts.write.parquet(path := scratch_path(spark, "counts"))
-    counts = spark.read.schema("kind int, key long, n long, blocks array<int>").parquet(path)
+    counts = spark.read.schema(summed).parquet(path)
 
     words = counts.where(F.col("kind") == WORD)
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
+    total = words.where("first").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("n") > 0).alias("v")).first()
     grams = counts.where(F.col("kind") == GRAM)
     order1 = np.zeros((256, 256))
     pair = F.col("key").bitwiseAND(0xFFFF)
-    for r in grams.groupBy(pair.alias("p")).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
+    for r in grams.where("first").groupBy(pair.alias("p")).agg(F.sum("n").alias("n")).collect():  # at most 65,536 rows
         order1[r["p"] >> 8, r["p"] & 0xFF] = r["n"]
-    estimated = grams.select("key", "n").groupBy(F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("suffix")) \
+    estimated = grams.where("first").select("key", "n").groupBy(F.shiftright("key", 8).bitwiseAND(0xFFFF).alias("suffix")) \
         .applyInPandas(estimator(order1), "key long, value double")
     slices = grams.join(estimated, "key").select(F.explode("blocks").alias("block"), "kind", "key", "value") \
         .union(words.select(F.explode("blocks").alias("block"), "kind", "key", F.col("n").cast("double").alias("value")))
