@@ -118,7 +118,7 @@ def maybe_in(df: DataFrame, h: Column, words: DataFrame, log2_words: int, name:
 BROADCAST_NODES = 250_000  # labels of so many nodes are sent to all executors: at most some 20 MB
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (a, b);
     the component is its smallest node.
 
@@ -132,7 +132,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     both = checkpointed(ends.union(ends.select("a", F.col("a").alias("b"))).distinct())
     labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
     sent = F.broadcast if labels.count() <= BROADCAST_NODES else lambda df: df
-    for _ in range(max_rounds):
+    while True:  # every round settles at least one more node, long chains halve
         old = labels.select(F.col("node").alias("b"), "component")
         near = checkpointed(both.join(sent(old), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low")))
         ahead = near.select(F.col("node").alias("low"), F.col("low").alias("component"))
@@ -141,7 +141,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         labels = new.select("node", "component")
         if new.where("old <> component").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 # --- Python workers ----------------------------------------------------------

@@ -56,7 +56,7 @@ K1, B = 1.2, 0.75
 NGRAM = 3
 QUESTION_SHARE, ANSWER_SHARE = 0.6, 0.5
 WORD = re.compile(r"[^\W_]+")
-MATCH = "array<struct<item_id:long,score:double,question_overlap:double,answer_overlap:double,word_at:long>>"
+MATCH = "array<struct<item_id:string,score:double,question_overlap:double,answer_overlap:double,word_at:long>>"
 
 
 def words_of(text: str) -> list[str]:
@@ -255,7 +255,7 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, per_pass: int) ->
     """(block, ids, texts, segments, words, terms, counts), written: bounded
     blocks of items and how many segments of the block hold each term."""
     spark = items.sparkSession
-    rows = items.select(items[id_col].cast("long").cast("string").alias("i"), text_of(items[text_col]).alias("t"))
+    rows = items.select(items[id_col].cast("string").alias("i"), text_of(items[text_col]).alias("t"))
     total, chars = rows.agg(F.count("*"), F.coalesce(F.sum(F.char_length("t")), F.lit(0))).first()
     parts = max(1, -(-total // per_pass), -(-chars // CHARS_PER_PASS))
 
@@ -305,8 +305,7 @@ def item_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
     def index(key):
         b, d = (x.where(F.col("block") == key).first() for x in (blocks, df))
-        ids = [None if i is None else int(i) for i in b["ids"]]
-        return ItemIndex(list(zip(ids, b["texts"])), dict(zip(d["terms"], d["counts"])), n, total / n)
+        return ItemIndex(list(zip(b["ids"], b["texts"])), dict(zip(d["terms"], d["counts"])), n, total / n)
 
     return len(keys), map(index, keys)
 
@@ -317,9 +316,13 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     for every document and item that match."""
     base = docs.select(docs[id_col].alias("doc_id"), text_of(docs[text_col]).alias("text"))
     n, indexes = item_indexes(items, **options)
-    found = (base.select("doc_id", F.explode(matcher(x, threshold, question_share, answer_share)("text")).alias("m")).select("doc_id", "m.*") for x in indexes)
+    kind = items.schema[options.get("id_col", "item_id")].dataType
+
+    def rows(matches):
+        return base.select("doc_id", F.explode(matches).alias("m")).select("doc_id", "m.*").withColumn("item_id", F.col("item_id").cast(kind))
+    found = (rows(matcher(x, threshold, question_share, answer_share)("text")) for x in indexes)
     if n == 0:
-        return base.select("doc_id", F.explode(F.lit(None).cast(MATCH)).alias("m")).select("doc_id", "m.*")
+        return rows(F.lit(None).cast(MATCH))
     if n == 1:
         return next(found)
     path = scratch_path(docs.sparkSession, "decontaminate")

@@ -15,7 +15,8 @@ then trained on the posterior labels of a bounded sample.
 Only text is ever scored: labels, language, source and id are no inputs.
 
 Defined cases: null and empty texts hit nothing and get the score of such a
-text; a label row with a null id or label is ignored, of several labels of one
+text; very long texts are read whole; a label row with a null id or a label
+other than 0 and 1 is ignored, of several labels of one
 id the larger one counts; without usable labels the lexicons are empty and
 every score is the same; other columns are ignored; an empty table gives an
 empty result.
@@ -250,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The model, and (doc_id, held_out, facts) of all rows. Rows whose id's
     crc32 is HELD_OUT modulo FOLDS are held out: nothing is learnt from them."""
     base = docs.select(docs[id_col].alias("doc_id"), (crc_bucket(docs[id_col], FOLDS) == HELD_OUT).alias("held_out"), text_of(docs[text_col]).alias("text"))
-    marks = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("toxic")).where("id is not null and toxic is not null") \
+    marks = labels.select(labels[id_col].alias("id"), labels[label_col].try_cast("int").alias("toxic")).where("id is not null and toxic in (0, 1)") \
         .groupBy("id").agg(F.max("toxic").alias("toxic")).where(crc_bucket(F.col("id"), FOLDS) != HELD_OUT)
     marks = checkpointed(marks)
     # A bounded sample: the rows whose hashed ids come first.

@@ -27,6 +27,13 @@ def test_planted_items_are_found(spark):
     assert kept.columns == docs_table(spark, []).columns
 
 
+def test_text_ids_of_items(spark):
+    df = spark.createDataFrame([("q-1", item(1)), ("q-2", item(2)), (None, None)], "item_id string, text string")
+    rows = [(1, prose(1, 200) + " " + item(2) + " " + prose(2, 100)), (2, prose(3, 100))]
+    assert [(r["doc_id"], r["item_id"]) for r in op.contaminated(docs_table(spark, rows), df).collect()] == [(1, "q-2")]
+    assert [r["doc_id"] for r in op.clean(docs_table(spark, rows), df).collect()] == [2]
+
+
 def test_copies_of_long_items_are_found(spark):
     """Exact copies of items of 65 to 2,000 words, at several offsets to the windows."""
     long = [(n, prose(5000 + n, n - 9) + ". " + prose(6000 + n, 9) + ".") for n in (65, 129, 300, 400, 600, 1000, 2000)]

@@ -53,6 +53,14 @@ def test_held_out_labels_are_never_learnt(spark):
     assert a.entries == b.entries and np.allclose(a.weights, b.weights)
 
 
+def test_other_labels_are_no_labels(spark):
+    """Labels other than 0 and 1 are as if they were not there."""
+    rows, labels = corpus(200)
+    a, _ = op.fit(docs_table(spark, rows), labels_table(spark, labels))
+    b, _ = op.fit(docs_table(spark, rows + [(900, "x y z"), (901, "more words here")]), labels_table(spark, labels + [(900, 0, 2), (901, 0, -1)]))
+    assert a.entries == b.entries
+
+
 def test_awkward_rows_and_no_labels(spark):
     model, facts = op.fit(docs_table(spark), labels_table(spark, []))
     assert op.scores(model, facts).count() == len(awkward_texts())
