@@ -12,7 +12,8 @@ Defined cases: a null text counts as empty, all empty texts are equal; a null
 id loses against any id, ``keep_id`` is null only where a whole group has null
 ids; of repeated rows with the smallest id exactly one is kept; other columns
 of the input are ignored, whatever their names; an empty table gives an empty
-result.
+result;
+very long texts are read whole.
 """
 
 from __future__ import annotations

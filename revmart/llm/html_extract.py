@@ -19,7 +19,8 @@ other; pages are only ever joined with the verdicts of their own tree.
 Defined cases: null and empty html give an empty text; a page without a
 readable host belongs to the host ''; copies of a page count once for
 constancy; repeated rows stay; other columns are ignored unless named in
-``keep``; an empty table gives an empty result.
+``keep``; an empty table gives an empty result;
+very long pages are read whole.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ a filter too full for its data only makes more lines suspects.
 Defined cases: a null or empty text is one empty line; a null id counts as one
 document that sorts before every other; rows that share an id are one document
 for counting and each loses its own lines; an extra column never disturbs,
-whatever its name; an empty table gives an empty result.
+whatever its name; an empty table gives an empty result;
+very long texts are read whole.
 """
 
 from __future__ import annotations

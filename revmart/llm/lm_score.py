@@ -23,7 +23,8 @@ Defined cases: a null text is empty and costs its end symbol; a null id is
 crc32 of the empty text and never held out or always, like any id; repeated
 rows each give a row and each count; without training rows every symbol is
 equally likely; other columns are ignored; an empty table gives an empty
-result.
+result;
+very long texts are read whole.
 """
 
 from __future__ import annotations

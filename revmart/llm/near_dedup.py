@@ -24,7 +24,8 @@ Defined cases: a text of fewer than five words is one shingle; null, empty and
 blank texts are equal to each other and to nothing else; rows with a null id
 are members, a class without any id has a null ``class_id``; repeated rows
 each give a row; other columns are ignored; an empty table gives an empty
-result.
+result;
+very long texts are read whole.
 """
 
 from __future__ import annotations
