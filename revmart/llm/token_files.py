@@ -6,7 +6,7 @@ bit-plane per bit, highest first, each plane stably sorted by the plane above
 it. Rank directories over the planes give access to any position, counts of a
 token in any range and the places where it occurs, in one step a plane and
 without decoding the shard; the planes are compressed in blocks that are read
-one by one. A whole shard decodes bottom up in two masked copies a plane.
+one by one. A whole shard decodes bottom up in two copies a plane.
 
 Files are written and read by Spark (one row, one file), so any file system
 that Spark reaches will do. A shard closes once it has ``SHARD_TOKENS`` tokens;
@@ -68,7 +68,7 @@ class WaveletMatrix:
             zeros.append(int(len(bits) - counts.sum()))
             ranks.append(np.concatenate([[0], np.cumsum(counts)]).astype("uint32"))
             bits_of.append(packed)
-            values = np.concatenate([values[~bits], values[bits]])
+            values = values.take(np.concatenate([np.flatnonzero(~bits), np.flatnonzero(bits)]))
         return cls(len(values), zeros, ranks, lambda k, lo, hi: bits_of[k][lo:hi]), bits_of
 
     def _bits(self, k: int, at: np.ndarray) -> np.ndarray:
@@ -143,8 +143,8 @@ class WaveletMatrix:
         for k in range(planes - 1, -1, -1):
             ones = np.unpackbits(self._plane(k, 0, -(-self.n // 8)), count=self.n, bitorder="little").view(bool)
             here = np.empty_like(low)
-            here[~ones] = low[:self.zeros[k]]
-            here[ones] = low[self.zeros[k]:] | kind(1 << (planes - 1 - k))
+            here[np.flatnonzero(~ones)] = low[:self.zeros[k]]
+            here[np.flatnonzero(ones)] = low[self.zeros[k]:] | kind(1 << (planes - 1 - k))
             low = here
         return low
 
@@ -198,6 +198,7 @@ class Shard:
 # Letters up to U+00FF, then ASCII punctuation without the apostrophe: words
 # that normalisation only lower-cases and whose two parts are tokenised apart.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 
 def byte_letters() -> dict[int, str]:
@@ -241,8 +242,12 @@ class WordIds(dict):
         return got
 
     def __missing__(self, word: str) -> bytes:
-        m = PLAIN.fullmatch(word)
-        if m:
+        core = word.rstrip(MARKS)
+        if core.isascii() and core.isalpha():       # the usual word, told without the pattern
+            got = self.of_piece(core.lower())
+            if len(core) < len(word):
+                got += self.of_piece(word[len(core):])
+        elif m := PLAIN.fullmatch(word):
             low, tail = m[1].lower(), m[2]
             got = self.of_piece(low if low.isascii() else low.translate(self.letters)) if low else b""
             if tail:
