@@ -59,7 +59,7 @@ class WaveletMatrix:
     @classmethod
     def build(cls, values: np.ndarray, planes: int) -> tuple["WaveletMatrix", list[np.ndarray]]:
         zeros, ranks, bits_of = [], [], []
-        values = values.copy()
+        spare = [np.empty_like(values), np.empty_like(values)]
         for k in range(planes):
             bits = (values >> (planes - 1 - k)) & 1 != 0
             packed = np.packbits(bits, bitorder="little")
@@ -68,7 +68,10 @@ class WaveletMatrix:
             zeros.append(int(len(bits) - counts.sum()))
             ranks.append(np.concatenate([[0], np.cumsum(counts)]).astype("uint32"))
             bits_of.append(packed)
-            values = values.take(np.concatenate([np.flatnonzero(~bits), np.flatnonzero(bits)]))
+            after = spare[k % 2]
+            values.take(np.flatnonzero(~bits), out=after[:zeros[k]], mode="clip")
+            values.take(np.flatnonzero(bits), out=after[zeros[k]:], mode="clip")
+            values = after
         return cls(len(values), zeros, ranks, lambda k, lo, hi: bits_of[k][lo:hi]), bits_of
 
     def _bits(self, k: int, at: np.ndarray) -> np.ndarray:
@@ -139,13 +142,12 @@ class WaveletMatrix:
         """All values, bottom up."""
         planes = len(self.zeros)
         kind = np.uint16 if planes <= 16 else np.uint32
-        low = np.zeros(self.n, kind)
+        low, here = np.zeros(self.n, kind), np.empty(self.n, kind)
         for k in range(planes - 1, -1, -1):
             ones = np.unpackbits(self._plane(k, 0, -(-self.n // 8)), count=self.n, bitorder="little").view(bool)
-            here = np.empty_like(low)
             here[np.flatnonzero(~ones)] = low[:self.zeros[k]]
             here[np.flatnonzero(ones)] = low[self.zeros[k]:] | kind(1 << (planes - 1 - k))
-            low = here
+            low, here = here, low
         return low
 
 
