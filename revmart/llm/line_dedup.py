@@ -5,8 +5,10 @@ once and one of keys seen again; filters of two tasks meet as
 ``twice = twice1 | twice2 | (once1 & once2)``, which never misses a key that
 both hold. Only lines that the second filter suspects are shuffled: there the
 exact key decides (SHA-256 of the key) and the smallest document id holding it
-stays. The filter has a fixed size (a parameter), so its broadcast is bounded;
-a filter too full for its data only makes more lines suspects.
+stays. Which texts lose a line comes back as a third filter; only texts that it
+lets through move to meet their dropped lines, all others stay where they are
+read. Filters are sized from counts, up to a bound on what is broadcast; a
+filter too full for its data only makes more lines suspects, or moves more texts.
 
 Defined cases: a null or empty text is one empty line; a null id counts as one
 document that sorts before every other; rows that share an id are one document
@@ -17,6 +19,7 @@ very long texts are read whole.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -24,11 +27,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, ascii_lower, checkpointed, filter_mask, filter_word, maybe_in, table, text_of, vectorised
+from .common import (
+    SPACE_CHARS, ascii_lower, build_filter, checkpointed, filter_mask, filter_word, maybe_in, table, text_of, vectorised,
+)
 
 QUERY_NAME = "op6_line_dedup"
 MIN_CHARS = 10
-LOG2_WORDS = 19   # 2**19 words of 64 bits: 4 MB a filter
+LOG2_MOST = 22        # words of 64 bits in the filter of lines: 32 MB are sent to an executor at most
+LOG2_MOST_TEXTS = 20  # words in the filter of texts, sent as rows of 16 bytes
+KEYS_A_WORD = 8       # at three bits a key some 3 % of the others pass
 SEGMENT_WORDS = 8192
 NULL_ID = -2**63
 
@@ -37,6 +44,15 @@ def line_key(line):
     return ascii_lower(F.btrim(line, F.lit(SPACE_CHARS)))
 
 
+def log2_for(keys: int, most: int) -> int:
+    """Words, as a power of two, of a filter for so many keys."""
+    return min(max(math.ceil(math.log2(max(1, keys) / KEYS_A_WORD)), 13), most)
+
+
+def _line_count(text):
+    return (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+
+
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(id, text_hash, line_no, key, h) of every line long enough to count."""
     return (docs.select("id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -75,16 +91,25 @@ def _merge_filters(batches):
             else:
                 state[s] = [a, b]
     for s, (_, twice) in state.items():
-        at = np.flatnonzero(twice)
-        yield pd.DataFrame({"word": at + s, "bits": twice[at].view("int64")})
+        if twice.any():
+            yield pd.DataFrame({"segment": [s // SEGMENT_WORDS], "bits": [twice.view("int64")]})
 
 
 def seen_twice(lines: DataFrame, log2_words: int) -> DataFrame:
-    """(word, bits) of the filter of keys seen at least twice."""
+    """(segment, bits) of the filter of keys seen at least twice: the words of
+    each segment as an array."""
     n_words = 1 << log2_words
     parts = lines.select(filter_word(F.col("h"), log2_words).alias("word"), filter_mask(F.col("h")).alias("bits")) \
         .mapInPandas(_task_filters(n_words), "segment long, once binary, twice binary")
-    return parts.repartition(max(1, n_words // SEGMENT_WORDS), "segment").mapInPandas(_merge_filters, "word long, bits long")
+    return parts.repartition(max(1, n_words // SEGMENT_WORDS), "segment").mapInPandas(_merge_filters, "segment long, bits array<long>")
+
+
+def suspected(lines: DataFrame, twice: DataFrame, log2_words: int) -> DataFrame:
+    """The lines that the filter does not rule out."""
+    word, mask = filter_word(F.col("h"), log2_words), filter_mask(F.col("h"))
+    side = F.broadcast(twice.select(F.col("segment").alias("__segment"), F.col("bits").alias("__bits")))
+    met = lines.join(side, F.floor(word / SEGMENT_WORDS) == F.col("__segment"))
+    return met.where(F.get("__bits", (word % SEGMENT_WORDS).cast("int")).bitwiseAND(mask) == mask).drop("__segment", "__bits")
 
 
 @vectorised("string")
@@ -98,24 +123,33 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
-               min_chars: int = MIN_CHARS, log2_words: int = LOG2_WORDS) -> DataFrame:
+               min_chars: int = MIN_CHARS, log2_words: int | None = None) -> DataFrame:
     """Per row: ``keep`` columns of the input, then ``kept_text`` (the lines
-    that stay, joined by newline), ``n_lines`` and ``n_dropped``."""
+    that stay, joined by newline), ``n_lines`` and ``n_dropped``. The filter of
+    lines has ``2**log2_words`` words, by default as many as the lines need."""
     key = F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID))
     base = docs.select(key.alias("id"), text_of(docs[text_col]).alias("text"))
+    if log2_words is None:
+        log2_words = log2_for(base.agg(F.sum(_line_count("text"))).first()[0] or 0, LOG2_MOST)
     lines = _lines(base, min_chars)
     twice = checkpointed(seen_twice(lines, log2_words))
-    suspects = maybe_in(lines, F.col("h"), twice, log2_words, "again").where("again")
+    suspects = suspected(lines, twice, log2_words)
     suspects = checkpointed(suspects.select("id", "text_hash", "line_no", F.unhex(F.sha2("key", 256)).alias("key")))
     first = suspects.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id")
-    gone = (suspects.join(first, "key").where("id > first_id")
-            .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__gone")))
-    out = docs.select(*[docs[c].alias(f"in_{i}") for i, c in enumerate(keep)], key.alias("__key"), text_of(docs[text_col]).alias("__text"))
-    out = out.join(gone, (F.col("__key") == F.col("__id")) & (F.xxhash64("__text") == F.col("__hash")), "left")
-    return out.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(keep)],
-                      _without("__text", "__gone").alias("kept_text"),
-                      (F.char_length("__text") - F.char_length(F.replace(F.col("__text"), F.lit("\n"), F.lit(""))) + 1).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    gone = checkpointed(suspects.join(first, "key").where("id > first_id")
+                        .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__gone")))
+    log2_texts = log2_for(gone.count(), LOG2_MOST_TEXTS)
+    losing = build_filter(gone.select(F.xxhash64("__id", "__hash").alias("h")), "h", log2_texts)
+
+    rows = docs.select(*[docs[c].alias(f"in_{i}") for i, c in enumerate(keep)], key.alias("__key"), text_of(docs[text_col]).alias("__text"))
+    rows = maybe_in(rows.withColumn("__of", F.xxhash64("__text")), F.xxhash64("__key", "__of"), losing, log2_texts, "__loses")
+    moved = rows.where("__loses").join(gone, (F.col("__key") == F.col("__id")) & (F.col("__of") == F.col("__hash")), "left")
+
+    def result(df, text, dropped):
+        return df.select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(keep)], text.alias("kept_text"),
+                         _line_count("__text").alias("n_lines"), dropped.cast("long").alias("n_dropped"))
+    return result(rows.where("not __loses"), F.col("__text"), F.lit(0)).union(
+        result(moved, _without("__text", "__gone"), F.coalesce(F.size("__gone"), F.lit(0))))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
