@@ -37,6 +37,7 @@ LOG2_MOST = 22        # words of 64 bits in the filter of lines: 32 MB are sent
 LOG2_MOST_TEXTS = 20  # words in the filter of texts, sent as rows of 16 bytes
 KEYS_A_WORD = 8       # at three bits a key some 3 % of the others pass
 SEGMENT_WORDS = 8192
+HOT_SHARE = 1024      # keys with more than so small a part of the suspects are fewer than this: sent, not shuffled to
 NULL_ID = -2**63
 
 
@@ -50,7 +51,7 @@ def log2_for(keys: int, most: int) -> int:
 
 
 def _line_count(text):
-    return (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -122,6 +123,20 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series([cut(t, g) for t, g in zip(text, gone)], dtype=object)
 
 
+def _later_lines(suspects: DataFrame) -> DataFrame:
+    """The suspects whose key an earlier document holds. A key with a large
+    part of all rows is combined where they are and sent back to them; only
+    the rows of other keys are shuffled."""
+    first = suspects.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count("*").alias("n"))
+    first = checkpointed(first.where("first_id < last_id").select("key", "first_id", "n"))
+    hot = F.col("n") * HOT_SHARE > suspects.count()
+    sent = F.broadcast(first.where(hot).select(F.col("key").alias("hot_key"), F.col("first_id").alias("hot_first")))
+    met = suspects.join(sent, F.col("key") == F.col("hot_key"), "left")
+    rest = met.where("hot_key IS NULL").join(first.where(~hot).select("key", "first_id"), "key").where("id > first_id")
+    columns = ("id", "text_hash", "line_no")
+    return met.where("id > hot_first").select(*columns).union(rest.select(*columns))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (),
                min_chars: int = MIN_CHARS, log2_words: int | None = None) -> DataFrame:
     """Per row: ``keep`` columns of the input, then ``kept_text`` (the lines
@@ -135,9 +150,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     twice = checkpointed(seen_twice(lines, log2_words))
     suspects = suspected(lines, twice, log2_words)
     suspects = checkpointed(suspects.select("id", "text_hash", "line_no", F.unhex(F.sha2("key", 256)).alias("key")))
-    first = suspects.groupBy("key").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("first_id < last_id")
-    gone = checkpointed(suspects.join(first, "key").where("id > first_id")
-                        .groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).agg(F.collect_set("line_no").alias("__gone")))
+    gone = checkpointed(_later_lines(suspects).groupBy(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+                        .agg(F.collect_set("line_no").alias("__gone")))
     log2_texts = log2_for(gone.count(), LOG2_MOST_TEXTS)
     losing = build_filter(gone.select(F.xxhash64("__id", "__hash").alias("h")), "h", log2_texts)
 

@@ -49,6 +49,14 @@ def test_filters_grow_with_their_keys_up_to_a_bound():
     assert sizes == [13, 13, 13, 14, 19, 22, 22]
 
 
+def test_hot_line(spark):
+    """A line with a third of all rows takes the way of the sent keys, rare
+    ones that of the shuffle."""
+    rows = [(k, "\n".join(["the line that stands everywhere"] * (1 + k % 3) + [f"a line that only two hold {(k * 2 + j) % 1500}" for j in range(4)]))
+            for k in range(750)]
+    assert rows_of(op.line_dedup(docs_table(spark, rows).repartition(4), keep=("doc_id",)), *COLS) == brute(rows)
+
+
 def test_texts_without_dropped_lines_stay_where_they_are(spark):
     """The texts that meet their dropped lines are behind the third filter;
     the others come out of a branch without an exchange."""
