@@ -213,3 +213,23 @@ def test_the_fact_is_read_for_two_roll_ups_only(spark):
                 reads.append(name)
     assert sorted(reads) == ["mart_product_sales", "vw_product_performance", "vw_product_segment_matrix"]
     assert DIMS_MARTS
+
+
+def test_product_sums_are_not_spread_with_the_distinct_ids(spark):
+    """Distinct orders and customers are counted apart from the sums."""
+    from tests.conftest import SF_SMALL
+    w = Warehouse.from_testdata(spark, SF_SMALL)
+    assert "Expand" not in w["mart_product_sales"]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_product_mart_over_null_keys(spark):
+    from revmart.plans.marts import mart_product_sales
+    from revmart.plans.staging import stg_sales
+    raw = spark.sql("""SELECT o AS order_id, DATE'2001-02-03' AS order_date, c AS customer_id, p AS product_id, 2 AS units_sold,
+        CAST(1 AS DECIMAL(12,2)) AS manufacturing_price, CAST(3 AS DECIMAL(12,2)) AS target_sale_price, CAST(6 AS DECIMAL(15,2)) AS gross_sales,
+        CAST(0 AS DECIMAL(15,2)) AS discount_premium, CAST(6 AS DECIMAL(15,2)) AS revenue, CAST(2 AS DECIMAL(15,2)) AS cogs, CAST(4 AS DECIMAL(15,2)) AS profit
+        FROM VALUES ('1', 'a', 'P'), ('1', 'a', 'P'), ('2', 'a', 'P'), ('a', NULL, 'P'), ('3', NULL, 'Q'), ('4', 'b', NULL), ('4', 'c', NULL) AS t(o, c, p)""")
+    got = {r["product_id"]: r for r in mart_product_sales(stg_sales(raw)).collect()}
+    assert {p: (r["total_orders"], r["customer_reach"], r["total_units_sold"], int(r["total_revenue"])) for p, r in got.items()} == {
+        "P": (3, 1, 8, 24), "Q": (1, 0, 2, 6), None: (1, 2, 4, 12)}
+    assert mart_product_sales(stg_sales(raw.limit(0))).count() == 0
