@@ -233,3 +233,12 @@ def test_product_mart_over_null_keys(spark):
     assert {p: (r["total_orders"], r["customer_reach"], r["total_units_sold"], int(r["total_revenue"])) for p, r in got.items()} == {
         "P": (3, 1, 8, 24), "Q": (1, 0, 2, 6), None: (1, 2, 4, 12)}
     assert mart_product_sales(stg_sales(raw.limit(0))).count() == 0
+
+
+def test_profile_puts_the_fact_together_once(spark):
+    """Once staging is written, nothing reads the sources of the fact again."""
+    from tests.conftest import SF_SMALL
+    w = Warehouse.from_testdata(spark, SF_SMALL).write_once(("stg_sales", "mart_product_sales"))
+    for name in ("stg_sales", "mart_product_sales", "vw_product_segment_matrix"):
+        assert "l_orderkey" not in w[name]._jdf.queryExecution().optimizedPlan().toString(), name
+    assert {r[0] for r in w.counted} == {"stg_sales", "mart_product_sales"}
