@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import build_filter, checkpointed, connected_components, maybe_in, table, text_of, vectorised
+from .common import build_filter, checkpointed, connected_components, limit_batches, maybe_in, table, text_of, vectorised
 
 QUERY_NAME = "op7_near_dedup"
 SHINGLE, SIMILARITY = 5, 0.8
@@ -46,7 +46,7 @@ CENTERS = 3
 LIKELY = 0.62        # signature agreement from which a center is tried
 BLOCK_MEMBERS, BLOCK_SHINGLES = 1000, 1_000_000
 LOG2_WORDS = 18
-CHUNK_CHARS = 3_000_000
+CHUNK_CHARS = 1_000_000
 U = np.uint64
 
 
@@ -295,6 +295,7 @@ class _Corpus:
 def _classes(docs: DataFrame, id_col: str, text_col: str, similarity: float, log2_words: int):
     """The rows (id, text_hash, n, digest, class) of a table, equal ones
     counted, and the sums of each class."""
+    limit_batches(docs.sparkSession)
     base = docs.select(docs[id_col].alias("id"), text_of(docs[text_col]).alias("text"))
     corpus = _Corpus(base, log2_words)
     classes = checkpointed(corpus.classes(similarity))

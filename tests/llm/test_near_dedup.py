@@ -110,3 +110,13 @@ def test_components_of_chains_and_stars(spark):
     got = dict((r["node"], r["component"]) for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{k: 0 for k in range(41)}, **{k: 100 for k in range(100, 160)}, 200: 200, 201: 200, 202: 200}
     assert connected_components(spark.createDataFrame([], "a long, b long").where(F.lit(False))).count() == 0
+
+
+def test_workers_hold_a_bounded_stretch_of_texts(spark):
+    """Batches for the workers are limited, and of a batch a worker takes a
+    million characters at once (a longer text alone)."""
+    assert list(op._groups(["x" * 400_000] * 5 + ["y" * 2_000_000])) == [(0, 2), (2, 4), (4, 5), (5, 6)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g")], "doc_id long, text string")
+    assert op.near_duplicates(docs).where("kept").count() == 1
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2_000
