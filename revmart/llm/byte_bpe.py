@@ -49,7 +49,7 @@ def load_encoding(rank_file: str) -> tiktoken.Encoding:
 
 
 def encoder(rank_file: str):
-    @vectorised("binary")
+    @vectorised("binary", frees=True)
     def encode(texts: pd.Series) -> pd.Series:
         enc = load_encoding(rank_file)
         return pd.Series([enc.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() for t in texts], dtype=object)
@@ -58,7 +58,7 @@ def encoder(rank_file: str):
 
 def decoder(rank_file: str):
     """Raw bytes of little-endian unsigned 32-bit ids."""
-    @vectorised("binary")
+    @vectorised("binary", frees=True)
     def decode(ids: pd.Series) -> pd.Series:
         cache = worker_cache()
         if ("bytes", rank_file) not in cache:

@@ -3,10 +3,13 @@ folder, bounded bit filters for broadcast, and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,6 +119,12 @@ def maybe_in(df: DataFrame, h: Column, words: DataFrame, log2_words: int, name:
 # --- connected components ----------------------------------------------------
 
 BROADCAST_NODES = 250_000  # labels of so many nodes are sent to all executors: at most some 20 MB
+ROWS_A_PART = 50_000       # rows of a round that are worth a task and a file
+
+
+def parts_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for so many small rows: one a core at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_A_PART))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -126,18 +135,23 @@ def connected_components(edges: DataFrame) -> DataFrame:
     own, and then the label of its label, so long chains halve. The rounds are
     joins written to the shared folder; labels are broadcast where they are
     counted to be few and shuffled otherwise. Only counts come to the driver.
+    A round runs in as many tasks and writes as many files as its rows need:
+    every small task would take its own pages of memory for joins and sorts, and
+    every file on a local path a process that sets its permissions.
     """
     ends = edges.where("a <> b")
     ends = ends.select("a", "b").union(ends.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = checkpointed(ends.union(ends.select("a", F.col("a").alias("b"))).distinct())
-    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")))
+    parts = parts_for(both.sparkSession, both.count())
+    both = both.coalesce(parts)
+    labels = checkpointed(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).coalesce(parts))
     sent = F.broadcast if labels.count() <= BROADCAST_NODES else lambda df: df
     while True:  # every round settles at least one more node, long chains halve
         old = labels.select(F.col("node").alias("b"), "component")
-        near = checkpointed(both.join(sent(old), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low")))
+        near = checkpointed(both.join(sent(old), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("low")).coalesce(parts))
         ahead = near.select(F.col("node").alias("low"), F.col("low").alias("component"))
         before = labels.select("node", F.col("component").alias("old"))
-        new = checkpointed(near.join(sent(ahead), "low").join(sent(before), "node").select("node", "old", "component"))
+        new = checkpointed(near.join(sent(ahead), "low").join(sent(before), "node").select("node", "old", "component").coalesce(parts))
         labels = new.select("node", "component")
         if new.where("old <> component").isEmpty():
             return labels
@@ -145,16 +159,38 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 # --- Python workers ----------------------------------------------------------
 
-def vectorised(return_type: str):
+def vectorised(return_type: str, frees: bool = False):
     """Pandas UDF of a function, made when it is first applied: modules can be
-    imported before there is a session."""
+    imported before there is a session. With ``frees`` the worker gives memory
+    back after every batch: workers outlive their tasks, and what one has needed
+    once would else stay with it through all later stages."""
     def wrap(f):
         def on_columns(*columns):
-            return F.pandas_udf(f, return_type)(*columns)
+            return F.pandas_udf(freeing(f) if frees else f, return_type)(*columns)
         return on_columns
     return wrap
 
 
+def freeing(f):
+    """``f``, and then ``give_back``."""
+    @functools.wraps(f)
+    def run(*columns):
+        try:
+            return f(*columns)
+        finally:
+            give_back()
+    return run
+
+
+def give_back() -> None:
+    """Memory that is free but still held by Arrow's pool and the C library
+    goes back to the system (where the library can)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def limit_batches(spark: SparkSession, rows: int = 2_000, size: int = 8 << 20) -> None:
     """Lowers the session's limits on what one Arrow batch to a Python worker
     holds (they are never raised): batches of long texts are held several

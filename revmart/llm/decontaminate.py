@@ -216,7 +216,7 @@ def candidate_windows(index: ItemIndex, terms: list[np.ndarray], threshold: floa
 
 def matcher(index: ItemIndex, threshold: float, question_share: float, answer_share: float):
     """Column function: text -> array of verified matches, one per item."""
-    @vectorised(MATCH)
+    @vectorised(MATCH, frees=True)
     def match(texts: pd.Series) -> pd.Series:
         out: list[dict] = [{} for _ in range(len(texts))]
         values = texts.to_list()

@@ -139,7 +139,7 @@ def _groups(texts: list[str]):
         lo = hi
 
 
-@vectorised("struct<digest:binary,bands:array<long>,places:array<tinyint>>")
+@vectorised("struct<digest:binary,bands:array<long>,places:array<tinyint>>", frees=True)
 def _sign(texts: pd.Series) -> pd.DataFrame:
     values, digests, bands, places = texts.to_list(), [], [], []
     for lo, hi in _groups(values):
@@ -156,7 +156,7 @@ def _sign(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"digest": digests, "bands": bands, "places": places})
 
 
-@vectorised("struct<shingles:array<long>,weights:array<int>>")
+@vectorised("struct<shingles:array<long>,weights:array<int>>", frees=True)
 def _shingle(texts: pd.Series) -> pd.DataFrame:
     values, out, weights = texts.to_list(), [], []
     for lo, hi in _groups(values):

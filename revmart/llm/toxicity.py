@@ -227,7 +227,7 @@ class Model:
 def facts_column(model: Model):
     read = model.reader()
 
-    @vectorised(FACTS)
+    @vectorised(FACTS, frees=True)
     def facts(texts: pd.Series) -> pd.DataFrame:
         return read(texts)
     return facts
@@ -289,7 +289,7 @@ def score_column(model: Model, text):
     """Score of a text column, in place."""
     read, score = model.reader(), model.scorer()
 
-    @vectorised("double")
+    @vectorised("double", frees=True)
     def of_text(texts: pd.Series) -> pd.Series:
         return score(read(texts))
     return of_text(text_of(text))
