@@ -2,13 +2,17 @@
 
 Both tokenizers cut the same bytes, so each is an array of token ends. The
 walk keeps the index shift between the two arrays: while ends at that shift
-agree, exponential probing (1, 2, 4, ... ends compared at once) jumps the
-one-to-one stretch; where they stop agreeing, the irregular group is resolved
-token by token up to the next common end, and the shift is updated by it.
+agree, exponential probing (16, 32, 64, ... ends compared at once, the first
+that differs read off the lowest bit) jumps the one-to-one stretch; where they
+stop agreeing, the irregular group is resolved token by token up to the next
+common end, and the shift is updated by it.
 
 Texts are encoded whole and the walk runs over the whole text. The byte-level
 file is run by the ranks of its merges where its ids are in the order of the
-merges (checked when it is loaded), else by its own library.
+merges (checked when it is loaded), else by its own library. The piece file is
+run by the ranks of its scores where that gives the same ids (also checked);
+texts with neighbouring spaces, a very long word or a U+2581, and files that
+fail the check, go to its own library.
 
 How often an id pair is linked is counted over the corpus. Documents are gone
 through in blocks; a block sends its distinct pairs (key and count) to be
@@ -43,6 +47,8 @@ TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE_MARK = "▁"
 BLOCK_LINKS = 2_000_000                 # links after which a block is closed
 TEXTS = 200                             # texts that are encoded in one call
+LONG_WORD = 400                         # bytes of the longest word that is merged by ranks (the work may grow faster than the word)
+PROBE = 16                              # ends that a first probe compares
 ROW = "block bigint, kind int, row bigint, doc_id {id}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pair bigint, count bigint, links binary"
 NAMES = ("block", "kind", "row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pair", "count", "links")
 DOCUMENT, PAIR = 0, 1
@@ -58,6 +64,9 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+NEVER = "<|never|>"                     # stands for a special token where a library wants one; plain text if it occurs
+
+
 def _objects(values: list) -> np.ndarray:
     out = np.empty(len(values), "object")
     out[:] = values
@@ -81,7 +90,8 @@ class ByteLevel:
             vocabulary.get("".join(m if isinstance(m, list) else m.split(" "))) == 256 + k for k, m in enumerate(merges))
         if in_order:
             import tiktoken
-            model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            # Not one special token is ever allowed; without any, the library looks for '' at every place.
+            model = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={NEVER: self.size})
             self.encode = lambda texts: [model.encode_to_numpy(t, disallowed_special=()).astype("int64") for t in texts]
         else:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -100,7 +110,73 @@ class Pieces:
         self.size = model.get_piece_size()
         entries = [model.id_to_piece(i) for i in range(self.size)]
         self.spelled = _objects([bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(entries)])
-        self.encode = lambda texts: [np.array(ids, "int64") for ids in model.encode(texts, num_threads=1)]
+        self._library = lambda texts: [np.array(ids, "int64") for ids in model.encode(texts, num_threads=1)]
+        self._ranked = self._by_ranks(model, entries)
+
+    def _by_ranks(self, model, entries: list[str]):
+        """Function of a spaced text, or None where the file's merges are not
+        those of its ranks. Merging goes by falling score, the leftmost first,
+        which is merging by ranks where scores differ. Words can be taken one by
+        one as no piece goes on behind a space; a character's bytes are put
+        together before all else."""
+        normal = {p: i for i, p in enumerate(entries) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+        of_byte = {int(p[3:5], 16): i for i, p in enumerate(entries) if model.is_byte(i)}
+        merged = sorted((p for p in normal if len(p) > 1 and not p.startswith(2 * SPACE_MARK)), key=lambda p: -model.get_score(normal[p]))
+        scores = [model.get_score(normal[p]) for p in merged]
+        if not (_plain_model(model) and len(of_byte) == 256 and SPACE_MARK in normal and all(c in normal for p in normal for c in p)
+                and not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in normal) and all(x > y for x, y in zip(scores, scores[1:]))
+                and model.encode([p[1:] for p in merged if p[0] == SPACE_MARK]) == [[normal[p]] for p in merged if p[0] == SPACE_MARK]):
+            return None
+        ranks = {bytes([b]): b for b in range(256)}
+        ids = [[normal.get(SPACE_MARK if b == 32 else chr(b), of_byte[b]) if b < 128 else of_byte[b]] for b in range(256)]
+        chars = {p.encode(): i for p, i in normal.items() if len(p) == 1 and p != SPACE_MARK and not p.isascii()}
+        heads = {c[:k] for c in chars for k in range(2, len(c) + 1)}
+        for spelled in sorted(heads, key=lambda h: (len(h), h)):
+            ranks[spelled] = len(ids)
+            ids.append([chars[spelled]] if spelled in chars else [of_byte[b] for b in spelled])
+        for p in merged:
+            ranks[p.replace(SPACE_MARK, " ").encode()] = len(ids)
+            ids.append([normal[p]])
+        import tiktoken
+        ranked = tiktoken.Encoding("pieces", pat_str=" ?[^ ]+| ", mergeable_ranks=ranks, special_tokens={NEVER: len(ids)})
+        first, many = np.array([i[0] for i in ids]), np.array([len(i) for i in ids])
+        rest = np.array([i + [0] * (4 - len(i)) for i in ids])
+
+        def encode(spaced: str) -> np.ndarray:
+            at = ranked.encode_to_numpy(spaced, disallowed_special=())
+            times = many[at]
+            return first[at] if times.max() == 1 else rest[at][np.arange(4) < times[:, None]]
+        return encode
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        out = [self._ranked(" " + t) if self._ranked and _single_spaces(t) else None for t in texts]
+        left = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(left, self._library([texts[k] for k in left]) if left else ()):
+            out[k] = ids
+        return out
+
+
+def _plain_model(model) -> bool:
+    """Whether texts are merged as they are, with a space put ahead, and bytes
+    stand for unknown characters."""
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:
+        return False
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    how, kinds = spec.normalizer_spec, spec.SentencePiece
+    return (spec.trainer_spec.model_type == spec.trainer_spec.BPE and spec.trainer_spec.byte_fallback and not spec.trainer_spec.treat_whitespace_as_suffix
+            and how.add_dummy_prefix and how.escape_whitespaces and not how.remove_extra_whitespaces and not how.precompiled_charsmap
+            and {p.type for p in spec.pieces} <= {kinds.NORMAL, kinds.UNKNOWN, kinds.CONTROL, kinds.BYTE})
+
+
+def _single_spaces(text: str) -> bool:
+    """Whether a text has no neighbouring spaces (counting the one that is put
+    ahead), no space mark and no very long word."""
+    spaces = np.flatnonzero(np.frombuffer(f" {text} ".encode(), "uint8") == 32)
+    between = spaces[1:] - spaces[:-1]
+    # A space at the end is fine.
+    return text != "" and SPACE_MARK not in text and between.max() <= LONG_WORD and (between[:-1] > 1).all()
 
 
 class Encoder:
@@ -109,7 +185,7 @@ class Encoder:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.lengths = [np.array(list(map(len, t.spelled)), "int64") for t in (self.a, self.b)]
-        self.marked = [[_objects([f"{i}{mark}" for i in range(t.size)]) for mark in marks] for t, marks in ((self.a, ",|"), (self.b, ",;"))]
+        self.marked = [marked(t.size, *marks) for t, marks in ((self.a, ",|"), (self.b, ",;"))]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """(ids of A, ids of B) a text; None where it has no tokens."""
@@ -124,62 +200,83 @@ class Encoder:
 
 # --- alignment ------------------------------------------------------------------
 
-def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
-    """Cuts of two arrays of increasing ends with the same last one: per group,
-    how many tokens of either array it and the groups before it hold."""
-    cuts_a, cuts_b = [], []
+def inner(ends_a, ends_b) -> tuple[list[int], list[int]]:
+    """Tokens of two arrays of increasing ends with the same last one whose end
+    the other array hasn't."""
+    inner_a, inner_b = [], []
+    raw_a, raw_b = (np.asarray(ends).astype("<u4").tobytes() for ends in (ends_a, ends_b))
+    ends_a, ends_b = (memoryview(np.ascontiguousarray(ends, "int64")) for ends in (ends_a, ends_b))
+    number = int.from_bytes
     i = j = 0
     n = len(ends_a)
-    while i < n:
-        shift, at, step = j - i, i, 1
-        while at < n and ends_a[at:at + step] == ends_b[at + shift:at + shift + step]:
-            at += step
-            step *= 2
-        at = min(at, n)
-        while step > 1 and at < n:             # the last probe holds the mismatch: halve it
-            step //= 2
-            if ends_a[at:at + step] == ends_b[at + shift:at + shift + step]:
-                at += step
-        if at > i:
-            cuts_a.extend(range(i + 1, at + 1))
-            cuts_b.extend(range(j + 1, at + shift + 1))
-            i, j = at, at + shift
-            if i == n:
+    while True:
+        step = PROBE
+        while i < n:
+            differs = number(raw_a[4 * i:4 * (i + step)], "little") ^ number(raw_b[4 * j:4 * (j + step)], "little")
+            if differs:
+                agree = (differs & -differs).bit_length() - 1 >> 5
+                i += agree
+                j += agree
                 break
+            i += step
+            j += step
+            step *= 2
+        if i >= n:
+            return inner_a, inner_b
         a, b = ends_a[i], ends_b[j]            # irregular: up to the next common end
         while a != b:
             if a < b:
+                inner_a.append(i)
                 i += 1
                 a = ends_a[i]
             else:
+                inner_b.append(j)
                 j += 1
                 b = ends_b[j]
         i += 1
         j += 1
-        cuts_a.append(i)
-        cuts_b.append(j)
-    return cuts_a, cuts_b
 
 
-def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cuts_of(n: int, within: list[int]) -> np.ndarray:
+    """How many of ``n`` tokens each group and the groups before it hold, of
+    the tokens that end ``within`` a group."""
+    last = np.ones(n, bool)
+    last[within] = False
+    return np.flatnonzero(last) + 1
+
+
+def align(ends_a, ends_b) -> tuple[np.ndarray, np.ndarray]:
+    """Cuts of two arrays of increasing ends with the same last one: per group,
+    how many tokens of either array it and the groups before it hold."""
+    inner_a, inner_b = inner(ends_a, ends_b)
+    return cuts_of(len(ends_a), inner_a), cuts_of(len(ends_b), inner_b)
+
+
+def links(ends_a: np.ndarray, ends_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray, inner_a: np.ndarray, inner_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indices of all pairs of tokens that share a byte: every stretch between
-    two neighbouring ends of either kind lies in one token of each."""
-    ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
-    ends = ends[np.append(ends[1:] != ends[:-1], True)]
-    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    two neighbouring ends of either kind lies in one token of each, and ends
+    with both, or within the other's."""
+    return (np.concatenate([cuts_a - 1, inner_a, np.searchsorted(ends_a, ends_b[inner_b])]),
+            np.concatenate([cuts_b - 1, np.searchsorted(ends_b, ends_a[inner_a]), inner_b]))
+
+
+def marked(size: int, inside: str, last: str) -> np.ndarray:
+    """Every id as text with the sign that follows within a group, and then
+    with the one that follows a group's last; padded with zero bytes."""
+    texts = [f"{i}{mark}".encode() for mark in (inside, last) for i in range(size)]
+    return np.array(texts, f"S{-(-max(map(len, texts)) // 8) * 8}")
 
 
-def digest(cuts_a: np.ndarray, cuts_b: np.ndarray, a: np.ndarray, b: np.ndarray, marked) -> str:
-    """sha256 of ``a1,a2|b1;a3|b2,b3``, all groups in order. ``marked`` holds
-    the ids of either kind as text with the sign that follows within a group,
-    and the one that follows a group's last."""
-    out = np.empty(len(a) + len(b), "object")
-    before_a, before_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
-    for ids, cuts, place, (inside, last) in ((a, cuts_a, np.repeat(cuts_b - before_b, before_a), marked[0]), (b, cuts_b, np.repeat(cuts_a, before_b), marked[1])):
-        text = inside[ids]
-        text[cuts - 1] = last[ids[cuts - 1]]
-        out[np.arange(len(ids)) + place] = text
-    return hashlib.sha256("".join(out.tolist())[:-1].encode()).hexdigest()
+def digest(cuts_a: np.ndarray, cuts_b: np.ndarray, a: np.ndarray, b: np.ndarray, texts) -> str:
+    """sha256 of ``a1,a2|b1;a3|b2,b3``, all groups in order. ``texts`` holds
+    the ids of either kind as ``marked``."""
+    out = np.empty(len(a) + len(b), f"S{max(t.itemsize for t in texts)}")
+    sizes_a, sizes_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+    for ids, cuts, before, text in ((a, cuts_a, np.repeat(cuts_b - sizes_b, sizes_a), texts[0]), (b, cuts_b, np.repeat(cuts_a, sizes_b), texts[1])):
+        row = ids.copy()
+        row[cuts - 1] += len(text) // 2
+        out[np.arange(len(ids)) + before] = text[row]
+    return hashlib.sha256(out.tobytes().translate(None, b"\0")[:-1]).hexdigest()
 
 
 class Block:
@@ -196,9 +293,10 @@ class Block:
             return
         a, b = found
         ends_a, ends_b = encoder.lengths[0][a].cumsum(), encoder.lengths[1][b].cumsum()
-        cuts_a, cuts_b = align(ends_a.tolist(), ends_b.tolist())
-        sha = digest(np.array(cuts_a), np.array(cuts_b), a, b, encoder.marked)
-        at_a, at_b = links(ends_a, ends_b)
+        inner_a, inner_b = (np.array(x, "int64") for x in inner(ends_a, ends_b))
+        cuts_a, cuts_b = cuts_of(len(a), inner_a), cuts_of(len(b), inner_b)
+        sha = digest(cuts_a, cuts_b, a, b, encoder.marked)
+        at_a, at_b = links(ends_a, ends_b, cuts_a, cuts_b, inner_a, inner_b)
         pairs, counts = np.unique(a[at_a] * encoder.b.size + b[at_b], return_counts=True)
         self.rows.append((doc_id, len(a), len(b), len(cuts_a), len(at_a), sha))
         self.pairs.append(pairs)

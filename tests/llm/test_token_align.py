@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -159,3 +160,72 @@ def test_vocabulary_out_of_merge_order(spark, tmp_path):
     path.write_text(json.dumps(spec), encoding="utf-8")
     df = docs_table(spark, SPECIAL)
     assert rows_of(op.token_alignment(df, path_a=str(path))) == rows_of(op.token_alignment(df))
+
+
+def test_links_are_the_overlaps():
+    @settings(max_examples=300, deadline=None)
+    @given(ends)
+    def check(both):
+        a, b = map(np.array, both)
+        within = tuple(np.array(x, "int64") for x in op.inner(a, b))
+        found = op.links(a, b, *op.align(a, b), *within)
+        start_a, start_b = np.append(0, a[:-1]), np.append(0, b[:-1])
+        assert sorted(zip(*map(np.ndarray.tolist, found))) == [(i, j) for i in range(len(a)) for j in range(len(b)) if start_a[i] < b[j] and start_b[j] < a[i]]
+    check()
+
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+# Characters of the vocabulary and others that begin with the same bytes, digits, marks, controls.
+letters = st.one_of(st.sampled_from("aetho sn ' -12.\n\t\x00éßжя漢字々㐀🙂🙃𐍈▁�́　 "), st.characters(exclude_categories=["Cs"]))
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return op.Pieces(PIECES), SentencePieceProcessor(model_file=PIECES)
+
+
+def test_pieces_by_ranks_are_the_librarys(pieces):
+    own, library = pieces
+
+    @settings(max_examples=1500, deadline=None)
+    @given(st.lists(st.one_of(st.text(letters, max_size=12), st.sampled_from(["unbelievable", "http://a.b/c", "<0x41>", "</s>", "<|never|>", "a" * 500])), max_size=12))
+    def check(words):
+        texts = [" ".join(words), "".join(words)]
+        assert [ids.tolist() for ids in own.encode(texts)] == library.encode(texts)
+    check()
+    every = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["x".join(every[k:k + 64]) for k in range(0, len(every), 64)]
+    assert [ids.tolist() for ids in own.encode(texts)] == library.encode(texts)
+
+
+def test_usual_texts_do_not_need_the_library(pieces, monkeypatch):
+    own, library = pieces
+    sent = []
+    monkeypatch.setattr(own, "_library", lambda texts: sent.extend(texts) or [np.array(ids, "int64") for ids in library.encode(texts)])
+    usual = [prose(k, 300) for k in range(5)] + ["Zoë's 漢字 🙂, twice.\nand a line ", "x" * 300]
+    special = ["", " lead", "two  spaces", "a▁b", "x" * 500]
+    assert [ids.tolist() for ids in own.encode(usual + special)] == library.encode(usual + special)
+    assert sent == special
+
+
+@pytest.mark.parametrize("change", ["score", "kind", "trim"])
+def test_pieces_of_other_files_are_left_to_the_library(tmp_path, change):
+    from sentencepiece import sentencepiece_model_pb2
+    spec = sentencepiece_model_pb2.ModelProto.FromString(open(PIECES, "rb").read())
+    if change == "score":                   # two kinds of merges that tie
+        spec.pieces[1000].score = spec.pieces[1001].score
+    elif change == "kind":                  # a piece that is taken wherever it occurs
+        spec.pieces[1000].type = spec.SentencePiece.USER_DEFINED
+    else:
+        spec.normalizer_spec.remove_extra_whitespaces = True
+    path = tmp_path / "own.model"
+    path.write_bytes(spec.SerializeToString())
+    texts = [prose(k, 60) for k in range(3)] + [t for _, t in SPECIAL]
+    own, library = op.Pieces(str(path)), SentencePieceProcessor(model_file=str(path))
+    assert own._ranked is None
+    assert [ids.tolist() for ids in own.encode(texts)] == library.encode(texts)
+
+
+def test_stand_in_for_a_special_token_is_plain_text(spark):
+    rows = [(1, "a <|never|> b<|never|>"), (2, "<|never|>"), (3, "a  <|never|>")]
+    assert rows_of(op.token_alignment(docs_table(spark, rows))) == brute(rows)
