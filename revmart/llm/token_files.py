@@ -31,12 +31,13 @@ from array import array
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, table, text_of, worker_cache
+from .common import SPACE_CHARS, give_back, scratch_path, table, text_of, worker_cache
 
 QUERY_NAME = "op9_token_files"
 TOKENIZER = "word_bpe_49k.json"
@@ -47,7 +48,10 @@ MAGIC = b"WVM1"
 HEAD = ">4sqqqIBI"       # magic, partition, tokens before, tokens, documents, planes, blocks a plane
 BLOCK = 1 << 16                         # bytes of a plane that are compressed together
 SUPER = 64                              # bytes between two entries of a rank directory
-CACHE_WORDS = 600_000
+CACHE_PIECES = 700_000                  # pieces that a worker remembers, and the longest of them
+CACHE_BYTES = 256
+TOGETHER = 8_000_000                    # bytes of texts whose pieces are looked up together
+SEGMENT = 1_000_000                     # bytes of text that are cut together
 
 
 class WaveletMatrix:
@@ -197,10 +201,16 @@ class Shard:
 
 # --- tokenising ---------------------------------------------------------------
 
-# Letters up to U+00FF, then ASCII punctuation without the apostrophe: words
-# that normalisation only lower-cases and whose two parts are tokenised apart.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+# What one byte of a text is. Words with an odd byte are encoded whole: the
+# apostrophe may begin a contraction, the bar be part of a special token, and
+# beyond ASCII only the letters up to U+00FF (C3 and a second byte) are known.
+SPACE, LETTER, MARK, DIGIT, ODD = range(5)
+KIND = bytes(SPACE if chr(b) in SPACE_CHARS else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit()
+             else MARK if chr(b).isprintable() and chr(b) not in "'|" else ODD for b in range(128)) + bytes([ODD]) * 128
+LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+LATIN, TIMES, DIVIDED = b"\xc3\x97\xb7"       # first byte of such letters; second bytes of signs among them
+BREAK = re.compile(rb"[\x20\x09-\x0D]")
+PLAIN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{}~]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -222,68 +232,112 @@ def load_tokenizer(path: str):
     return cache[path]
 
 
-class WordIds(dict):
-    """Ids of words, worked out when first asked for, as little-endian
-    unsigned 16-bit integers. The model is asked directly for plain words,
+class PieceIds(dict):
+    """Ids of pieces (UTF-8), worked out when first asked for, as little-endian
+    unsigned 16-bit integers. The model is asked directly for plain pieces,
     the whole tokenizer for all others."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.model, self.letters, self.pieces = tokenizer, tokenizer.model.tokenize, byte_letters(), {}
+        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model.tokenize, byte_letters()
 
-    @staticmethod
-    def pack(ids: list[int]) -> bytes:
+    def __missing__(self, piece: bytes) -> bytes:
+        text = piece.decode()
+        if PLAIN.fullmatch(text):
+            ids = [t.id for t in self.model(text if text.isascii() else text.translate(self.letters))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         out = array("H", ids)
         if sys.byteorder == "big":
             out.byteswap()
-        return out.tobytes()
-
-    def of_piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            got = self.pieces[piece] = self.pack([t.id for t in self.model(piece)])
-        return got
-
-    def __missing__(self, word: str) -> bytes:
-        core = word.rstrip(MARKS)
-        if core.isascii() and core.isalpha():       # the usual word, told without the pattern
-            got = self.of_piece(core.lower())
-            if len(core) < len(word):
-                got += self.of_piece(word[len(core):])
-        elif m := PLAIN.fullmatch(word):
-            low, tail = m[1].lower(), m[2]
-            got = self.of_piece(low if low.isascii() else low.translate(self.letters)) if low else b""
-            if tail:
-                got += self.of_piece(tail)
-        else:
-            got = self.whole(word)
-        self[word] = got
+        got = out.tobytes()
+        if len(piece) <= CACHE_BYTES:
+            self[piece] = got
         return got
 
-    def whole(self, text: str) -> bytes:
-        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
     def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
+        if len(self) > CACHE_PIECES:
             self.clear()
-        if len(self.pieces) > CACHE_WORDS:
-            self.pieces.clear()
 
 
-def tokenise(texts: list[str], path: str) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 16-bit integers. The
-    tokenizer splits at white space and never looks across it, so words are
-    encoded once and remembered for a while."""
+def cut(raw: bytes) -> tuple[np.ndarray, pa.Array]:
+    """Pieces of a text and where they begin: runs of letters (in lower case),
+    single digits, runs of marks; words that have other bytes are one piece."""
+    data = np.frombuffer(raw, "uint8")
+    kind, text = (np.frombuffer(bytearray(raw.translate(t)), "uint8") for t in (KIND, LOWERED))
+    first = np.flatnonzero(data[:-1] == LATIN)
+    if len(first):
+        second = data[first + 1]
+        kind[first] = LETTER
+        kind[first + 1] = np.where((second == TIMES) | (second == DIVIDED), ODD, LETTER)
+        text[first[(second <= 0x9E) & (second != TIMES)] + 1] += 0x20
+    word = kind != SPACE
+    odd = np.flatnonzero(kind == ODD)
+    if len(odd):
+        edges = np.flatnonzero(np.diff(word, prepend=False, append=False))
+        starts, stops = edges[::2], edges[1::2]
+        those = np.unique(np.searchsorted(starts, odd, "right") - 1)
+        step = np.zeros(len(data) + 1, "int8")
+        step[starts[those]] = 1
+        step[stops[those]] = -1
+        inside = np.cumsum(step[:-1], dtype="int8").view(bool)
+        kind[inside] = ODD
+        text = np.where(inside, data, text)
+    begins = word.copy()
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+    at = np.flatnonzero(begins)
+    kept = text[word]
+    ends = np.append(np.cumsum(word, dtype="int32")[at] - 1, len(kept)).astype("int32")
+    return at, pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(kept)])
+
+
+def tokenise(texts: list[str], path: str, together: int = TOGETHER, segment: int = SEGMENT):
+    """Ids of each text in turn, as little-endian unsigned 16-bit integers.
+    The tokenizer splits at white space and never looks across it, and it
+    splits plain words further, so pieces are encoded once and remembered for
+    a while. Some ``together`` bytes of texts are looked up at once; they are
+    cut ``segment`` bytes at a time, always at white space."""
     cache = worker_cache()
-    if ("words", path) not in cache:
-        cache["words", path] = WordIds(load_tokenizer(path))
-    words = cache["words", path]
-    words.trim()
-    ids_of, out = words.__getitem__, []
+    if ("pieces", path) not in cache:
+        cache["pieces", path] = PieceIds(load_tokenizer(path))
+    group, size = [], 0
     for t in texts:
-        # Separators that Python splits at and the tokenizer may not.
-        odd = any(c in t for c in "\x1c\x1d\x1e\x1f")
-        out.append(words.whole(t) if odd else b"".join(map(ids_of, t.split())))
-    return out
+        group.append(t.encode())
+        size += len(group[-1])
+        if size >= together:
+            yield from _ids_of(group, cache["pieces", path], segment)
+            group, size = [], 0
+            give_back()
+    yield from _ids_of(group, cache["pieces", path], segment)
+    give_back()
+
+
+def _ids_of(texts: list[bytes], pieces: PieceIds, segment: int) -> list[bytes]:
+    data, stops = b"\n".join(texts), np.cumsum([len(t) + 1 for t in texts])
+    found, upto, lo = [], np.zeros(len(texts), "int64"), 0
+    while lo < len(data):                       # pieces, and how many there are up to the end of each text
+        end = BREAK.search(data, lo + segment)
+        hi = end.end() if end else len(data)
+        at, some = cut(data[lo:hi])
+        found.append(some)
+        upto += np.searchsorted(at, np.clip(stops - lo, 0, hi - lo))
+        lo = hi
+    if not upto[-1:].any():
+        return [b""] * len(texts)
+    found = pa.chunked_array(found).dictionary_encode()
+    pieces.trim()
+    ids = list(map(pieces.__getitem__, found.chunk(0).dictionary.to_numpy(zero_copy_only=False).tolist()))
+    length = np.fromiter(map(len, ids), "int64", len(ids)) // 2
+    begin, ids = np.cumsum(length) - length, np.frombuffer(b"".join(ids), "<u2")
+    tokens, ends, total = [], [np.zeros(1, "int64")], 0
+    for chunk in found.chunks:
+        which = chunk.indices.to_numpy()
+        n = length[which]
+        end = np.cumsum(n)
+        tokens.append(ids[np.repeat(begin[which] - end + n, n) + np.arange(n.sum())])
+        ends.append(end + total)
+        total += len(tokens[-1])
+    tokens, stops = np.concatenate(tokens), np.concatenate(ends)[upto].tolist()
+    return [tokens[a:b].tobytes() for a, b in zip([0, *stops], stops)]
 
 
 def _shards(path: str, shard_tokens: int):
@@ -299,16 +353,15 @@ def _shards(path: str, shard_tokens: int):
         for pdf in batches:
             keys = [None if k is None else int(k) for k in pdf["key"]]
             texts = pdf["text"].to_list()
-            for lo in range(0, len(texts), 512):
-                for key, got in zip(keys[lo:lo + 512], tokenise(texts[lo:lo + 512], path)):
-                    ids.append(key)
-                    parts += [got, end]
-                    lengths.append(len(got) // 2 + 1)
-                    size += lengths[-1]
-                    if size >= shard_tokens:
-                        yield close()
-                        before += size
-                        ids, lengths, parts, size = [], [], [], 0
+            for key, got in zip(keys, tokenise(texts, path)):
+                ids.append(key)
+                parts += [got, end]
+                lengths.append(len(got) // 2 + 1)
+                size += lengths[-1]
+                if size >= shard_tokens:
+                    yield close()
+                    before += size
+                    ids, lengths, parts, size = [], [], [], 0
         if ids:
             yield close()
     return build

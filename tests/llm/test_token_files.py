@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -75,3 +77,32 @@ def test_a_point_is_read_without_the_whole_file():
     shard.tokens._plane = lambda k, lo, hi: opened.append(hi - lo) or inner(k, lo, hi)
     assert shard.tokens.access([2_500_000])[0] == values[2_500_000]
     assert sum(opened) <= 16 * 2 * op.SUPER
+
+
+ALPHABET = [*"abAZzé ÉÀÞßÿ×÷ªº²µ¼'’“–12 .,!?-<|>&\t\n\r\x0b\x0c\x1c\x85\xa0\u3000\u0301\u0345İıǅﬀ\u212a漢字あ한가😀\x00\x7f", "'s", "'re", "'LL",
+            "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "\u200d", "the", " ", " "]
+
+
+@pytest.mark.parametrize("together,segment", [(1, 1), (500, 37), (20_000, 1_000), (12_000_000, 1_000_000)])
+def test_any_cut_gives_the_ids_of_the_library(together, segment):
+    rng = random.Random(segment)
+    texts = ["", " ", *("".join(rng.choices(ALPHABET, k=rng.randrange(60))) for _ in range(2_000)), "\n\n", ""]
+    got = list(op.tokenise(texts, public_tokenizers.path(op.TOKENIZER), together, segment))
+    assert got == [np.array(whole(t)[:-1], "<u2").tobytes() for t in texts]
+
+
+def test_nothing_to_tokenise():
+    path = public_tokenizers.path(op.TOKENIZER)
+    assert list(op.tokenise([], path)) == []
+    assert list(op.tokenise(["", " \n", ""], path)) == [b"", b"", b""]
+
+
+def test_unlike_words_of_known_pieces_are_not_learned_anew():
+    path = public_tokenizers.path(op.TOKENIZER)
+    learned = lambda: sum(len(v) for v in op.worker_cache().values() if isinstance(v, dict))
+    before = learned()
+    text = " ".join(f"{k}-{7 * k}é,Word{k}" for k in range(5_000))
+    assert list(op.tokenise([text], path)) == [np.array(whole(text)[:-1], "<u2").tobytes()]
+    assert learned() - before <= 30
+    list(op.tokenise(["漢" * 1_000], path))     # long pieces aren't kept
+    assert learned() - before <= 30
